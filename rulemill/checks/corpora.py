@@ -24,8 +24,18 @@ COLS = ["source", "priority", "source_ord", "lite", "chunk", "line_no", "line"]
 CHUNK = 64
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A driver table; one too small to fill all cores is spread by a key.
+
+    A file of one row group is read by one task. Tables that are large enough to
+    come in a split per core are left as they are read.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    split = 128 * 1024 * 1024
+    if spread_by and df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < cores * split:
+        return df.repartition(cores, spread_by)
+    return df
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -130,7 +140,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines keep their document's number in the upper part of ``line_no``."""
     number = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
     return _finish(
-        table(spark, sf_dir, "documents")
+        table(spark, sf_dir, "documents", "doc_id")
         .select("source", number.alias("number"), "doc_id", F.posexplode(F.split("text", fixed.PAT_LINES)).alias("pos", "line"))
         .select(
             "source", (F.col("number") + 1).alias("priority"), (F.col("number") + 9).alias("source_ord"),
@@ -147,7 +157,7 @@ def bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = F.when(F.col("l_suppkey") % 3 == 0, ".example.com^").otherwise(".example.net^")
     turn = (F.col("l_linenumber") % 4).cast("int")
     return _finish(
-        table(spark, sf_dir, "lineitem").select(
+        table(spark, sf_dir, "lineitem", "l_orderkey").select(
             F.concat(F.lit("bulk"), turn).alias("source"),
             (turn + 1).alias("priority"), (turn + 40).alias("source_ord"),
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_no"),

@@ -8,11 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
-from ..functions.domains import extract_domain
 from ..functions.lines import inject_kind
-from ..functions.normalize import has_match_case, normalize, sort_domain_option, sort_sites, strip_www
+from ..functions.normalize import has_match_case, key_separator, sort_domain_option, sort_sites, strip_www
 from ..functions.options import option_tokens, options_text, options_valid
-from ..functions.text import strip
 from ..operators import dedup, history, parse, refresh, stats, subsume
 from ..plans import editions
 from ..sources import lists, registry as reg
@@ -44,6 +42,10 @@ def _syntax_rules(spark: SparkSession, d: str) -> DataFrame:
     return parse.parse_rules(c.rule_lines(spark, d))
 
 
+def _all_types(spark: SparkSession, d: str) -> DataFrame:
+    return parse.type_rules(c.all_lines(spark, d))
+
+
 def _all_rules(spark: SparkSession, d: str) -> DataFrame:
     return parse.parse_rules(c.all_lines(spark, d))
 
@@ -200,7 +202,7 @@ def hosts_rows(spark, d):
 
 @query
 def rule_types(spark, d):
-    return _all_rules(spark, d).groupBy("source", "rule_type", "sep").agg(_count("rules"))
+    return _all_types(spark, d).groupBy("source", "rule_type", "sep").agg(_count("rules"))
 
 
 @query
@@ -301,7 +303,8 @@ def stripped_www(spark, d):
 @query
 def sorted_sites(spark, d):
     rules = _syntax_rules(spark, d).filter("section = 'element'")
-    return rules.select("source", "line_no", "raw", sort_sites(F.col("raw")).alias("key"))
+    key = sort_sites(F.col("raw"), key_separator(F.col("raw")))
+    return rules.select("source", "line_no", "raw", key.alias("key"))
 
 
 @query
@@ -323,7 +326,7 @@ def priority_union(spark, d):
 
 @query
 def sections(spark, d):
-    return _all_rules(spark, d).groupBy("section", "rule_type").agg(_count("rules"))
+    return _all_types(spark, d).groupBy("section", "rule_type").agg(_count("rules"))
 
 
 @query
@@ -398,13 +401,13 @@ def by_source(spark, d):
 
 @query
 def source_summary(spark, d):
-    rules = _all_rules(spark, d)
+    rules = _all_types(spark, d)
     return rules.groupBy("source", "priority").agg(_count("rule_count"))
 
 
 @query
 def type_profile(spark, d):
-    return stats.type_profile(_all_rules(spark, d))
+    return stats.type_profile(_all_types(spark, d))
 
 
 def _published_lines(spark, d):
@@ -450,7 +453,7 @@ def file_stats(spark, d):
 @query
 def edition_text(spark, d):
     lines = c.all_lines(spark, d)
-    rules = parse.parse_rules(lines)
+    rules = parse.type_rules(lines)
     edition = stage(editions.build_edition(lines), "edition")
     summary = rules.groupBy("source", "priority", "source_ord").agg(_count("rule_count"))
     text = editions.edition_text(edition, summary, AT)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import fixed
-from .text import before, starts_with_any, strip
+from .lines import is_hosts_row
+from .text import before, strip
 
 
 def site_scope(text: Column, sep: Column) -> Column:
@@ -14,25 +15,25 @@ def site_scope(text: Column, sep: Column) -> Column:
     return F.filter(sites, lambda s: s != "")
 
 
-def extract_domain(pattern: Column) -> Column:
+def anchored_domain(pattern: Column) -> Column:
+    """Domain after the first ``||`` that has one; '' or NULL without."""
+    return F.when(
+        pattern.contains("||"), F.regexp_extract(pattern, fixed.PAT_ANCHORED_DOMAIN, 1)
+    )
+
+
+def extract_domain(pattern: Column, anchored: Column) -> Column:
     """Domain a pattern is about, '' if it names none.
 
-    Tried in order: ``||domain`` anywhere, the target of a hosts row, a dotted
-    name at the start.
+    Tried in order: ``anchored`` (its ``anchored_domain``), the target of a hosts
+    row, a dotted name at the start.
     """
     text = strip(pattern)
-    anchored = F.when(
-        pattern.contains("||"), F.regexp_extract(pattern, fixed.PAT_ANCHORED_DOMAIN, 1)
-    )
-    hosts = F.when(
-        starts_with_any(text, fixed.HOSTS_ADDRESSES),
-        strip(F.regexp_extract(text, fixed.PAT_HOSTS, 1)),
-    )
-    bare = F.when(text.startswith("@@"), F.substring(text, F.lit(3), F.length(text))).otherwise(text)
-    bare = F.when(bare.startswith("||"), F.substring(bare, F.lit(3), F.length(bare))).otherwise(bare)
-    leading = F.regexp_extract(bare, fixed.PAT_DOTTED_DOMAIN, 1)
+    bare = F.regexp_replace(text, r"^(?:@@)?(?:\|\|)?", "")
     return F.lower(
-        F.coalesce(F.nullif(anchored, F.lit("")), F.nullif(hosts, F.lit("")), leading)
+        F.when(anchored != "", anchored)
+        .when(is_hosts_row(text), strip(F.regexp_extract(text, fixed.PAT_HOSTS, 1)))
+        .otherwise(F.regexp_extract(bare, fixed.PAT_DOTTED_DOMAIN, 1))
     )
 
 

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
-from .text import after, before, bind, collapse_spaces, strip
+from .text import after, before, collapse_spaces, compute_once, strip
 
 
 def has_match_case(options: Column) -> Column:
-    keys = F.transform(F.split(options, ","), lambda o: strip(F.substring_index(o, "=", 1)))
-    return F.when(options.contains("match-case"), F.array_contains(keys, "match-case")).otherwise(
-        F.lit(False)
-    )
+    """Is ``match-case`` one of the comma-separated option keys?"""
+    return options.contains("match-case") & options.rlike(fixed.PAT_MATCH_CASE)
 
 
 def strip_www(pattern: Column) -> Column:
@@ -30,19 +28,14 @@ def key_separator(pattern: Column) -> Column:
     return chain
 
 
-def sort_sites(pattern: Column) -> Column:
-    """Sort the comma-separated sites before the first listed separator present."""
-
-    def sorted_before(sep: Column) -> Column:
-        sites = before(pattern, sep)
-        names = F.filter(F.transform(F.split(sites, ","), strip), lambda s: s != "")
-        return F.when(
-            sites.contains(","),
-            F.concat(F.array_join(F.sort_array(names), ","), sep, after(pattern, sep)),
-        ).otherwise(pattern)
-
-    sep = F.when(pattern.contains(","), key_separator(pattern))
-    return F.coalesce(bind(sep, sorted_before), pattern)
+def sort_sites(pattern: Column, sep: Column) -> Column:
+    """Sort the comma-separated sites before ``sep``, the ``key_separator``."""
+    sites = before(pattern, sep)
+    names = F.filter(F.transform(F.split(sites, ","), strip), lambda s: s != "")
+    return F.when(
+        sep.isNotNull() & sites.contains(","),
+        F.concat(F.array_join(F.sort_array(names), ","), sep, after(pattern, sep)),
+    ).otherwise(pattern)
 
 
 def sort_domain_option(options: Column) -> Column:
@@ -61,23 +54,38 @@ def sort_domain_option(options: Column) -> Column:
     ).otherwise(options)
 
 
-def normalize(rule: Column) -> Column:
-    """Canonical key of a rule line."""
-
-    def pattern_key(text: Column, options: Column) -> Column:
-        cased = F.when(has_match_case(options), text).otherwise(F.lower(text))
-        return bind(strip_www(collapse_spaces(cased)), sort_sites)
+def add_normalized(rules: DataFrame, text: str, out: str = "normalized") -> DataFrame:
+    """Adds the canonical key of the stripped rule line in column ``text``.
 
-    def options_key(options: Column) -> Column:
-        return F.when(options == "", F.lit("")).otherwise(
-            F.concat(F.lit("$"), sort_domain_option(F.lower(options)))
-        )
-
-    def key(text: Column) -> Column:
-        with_options = text.contains("$") & key_separator(text).isNull()
-        options = after(text, "$")
-        return F.when(
-            with_options, F.concat(pattern_key(before(text, "$"), options), options_key(options))
-        ).otherwise(pattern_key(text, F.lit("")))
-
-    return bind(strip(rule), key)
+    The key is built in steps, each a plain column for the next, so the long
+    conditions run as compiled code and once per rule.
+    """
+    line = F.col(text)
+    cut = compute_once(
+        rules, _cut=F.when(line.contains("$") & key_separator(line).isNull(), F.instr(line, "$"))
+    )
+    parts = compute_once(
+        cut,
+        _pattern=F.when(F.col("_cut").isNull(), line)
+        .otherwise(F.substring(line, F.lit(1), F.col("_cut") - 1)),
+        _opts=F.when(F.col("_cut").isNull(), "")
+        .otherwise(F.substring(line, F.col("_cut") + 1, F.length(line))),
+    )
+    pattern, options = F.col("_pattern"), F.col("_opts")
+    cased = compute_once(
+        parts, _cased=F.when(has_match_case(options), pattern).otherwise(F.lower(pattern))
+    )
+    even = compute_once(cased, _even=collapse_spaces(F.col("_cased")))
+    bare = compute_once(even, _bare=strip_www(F.col("_even")))
+    located = compute_once(
+        bare, _ksep=F.when(F.col("_bare").contains(","), key_separator(F.col("_bare")))
+    )
+    key = F.when(F.col("_ksep").isNull(), F.col("_bare")).otherwise(
+        sort_sites(F.col("_bare"), F.col("_ksep"))
+    )
+    tail = F.when(options == "", "").otherwise(
+        F.concat(F.lit("$"), sort_domain_option(F.lower(options)))
+    )
+    return located.withColumn(out, F.concat(key, tail)).drop(
+        "_cut", "_pattern", "_opts", "_cased", "_even", "_bare", "_ksep"
+    )

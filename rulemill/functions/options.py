@@ -16,15 +16,13 @@ def option_tokens(options: Column) -> Column:
     return F.regexp_extract_all(options, F.lit(fixed.PAT_OPTION), F.lit(0))
 
 
-def looks_like_option(token: Column) -> Column:
-    name = F.ltrim(token, F.lit("~"))
-    key = strip(F.substring_index(name, "=", 1))
-    return F.when(name.contains("="), key != "").otherwise(name.isin(fixed.KNOWN_OPTIONS))
-
-
 def options_valid(options: Column, tokens: Column) -> Column:
-    """Is the text after ``$`` an option list? An empty text is, ``,`` is not."""
-    return (options == "") | F.exists(tokens, looks_like_option)
+    """Is the text after ``$`` an option list? An empty text is, ``,`` is not.
+
+    One token has to be a known name or have a non-blank key before ``=``; ``~``
+    in front does not matter. Lines hold no line feed, so it can join tokens.
+    """
+    return (options == "") | F.array_join(tokens, "\n").rlike(fixed.PAT_VALID_TOKEN)
 
 
 def options_map(tokens: Column) -> Column:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
-from ..functions.domains import extract_domain, site_scope
+from ..functions.domains import anchored_domain, extract_domain, site_scope
 from ..functions.lines import hosts_raw, hosts_target, line_kind, rule_type_and_sep
-from ..functions.normalize import normalize
+from ..functions.normalize import add_normalized
 from ..functions.options import (
     option_tokens, options_map, options_text, options_valid, pattern_text,
 )
 from ..functions.text import after, compute_once, strip
 from ..schema import ORDER_KEY, section_of
+from ..staging import stage
 from .carry import carry
 
 
@@ -23,52 +24,55 @@ def classify_lines(lines: DataFrame) -> DataFrame:
     return compute_once(stripped, kind=line_kind(F.col("text")))
 
 
-def parse_rules(lines: DataFrame) -> DataFrame:
-    """One row per rule; narrow, no shuffle. Comments: see ``attach_comments``."""
+def type_rules(lines: DataFrame) -> DataFrame:
+    """Rules with their text and type only: raw, rule_type, sep, section."""
     text, kind = F.col("text"), F.col("kind")
     is_rule = kind == fixed.KIND_RULE
-    typed = compute_once(
+    return compute_once(
         classify_lines(lines).filter(kind.isin(fixed.RULE_KINDS)),
         raw=F.when(kind == fixed.KIND_HOSTS, hosts_raw(text)).otherwise(text),
         _type=F.when(is_rule, rule_type_and_sep(text)),
-    ).withColumns({
-        "rule_type": F.when(is_rule, F.col("_type.rule_type"))
+    ).select(
+        *lines.columns, "text", "kind", "raw",
+        F.when(is_rule, F.col("_type.rule_type"))
         .when(kind == fixed.KIND_HEADER, fixed.HEADER)
-        .otherwise(fixed.BLOCK),
-        "sep": F.coalesce("_type.sep", F.lit("")),
-    })
-    is_network = is_rule & (F.col("sep") == "")
-    is_element = is_rule & (F.col("sep") != "")
-    split = (
-        typed
-        .withColumn("_options", F.when(is_network, options_text(text)))
-        .withColumn("_tokens", F.when(F.col("_options").isNotNull(), option_tokens(F.col("_options"))))
-        .withColumn(
-            "_tokens",
-            F.when(options_valid(F.col("_options"), F.col("_tokens")), F.col("_tokens")),
-        )
-        .withColumn(
-            "pattern",
+        .otherwise(fixed.BLOCK).alias("rule_type"),
+        F.coalesce("_type.sep", F.lit("")).alias("sep"),
+    ).withColumn("section", section_of(F.col("rule_type")))
+
+
+def parse_rules(lines: DataFrame) -> DataFrame:
+    """One row per rule; narrow, no shuffle. Comments: see ``attach_comments``."""
+    text, kind, raw = F.col("text"), F.col("kind"), F.col("raw")
+    is_rule = kind == fixed.KIND_RULE
+    is_network = is_rule & (F.col("sep") == "") & raw.contains("$")
+    opened = compute_once(type_rules(lines), _options=F.when(is_network, options_text(raw)))
+    split = compute_once(opened, _tokens=option_tokens(F.col("_options")))
+    checked = compute_once(split, _valid=options_valid(F.col("_options"), F.col("_tokens")))
+    patterned = compute_once(
+        checked,
+        pattern=F.when(kind == fixed.KIND_HEADER, "")
+        .when(F.col("_valid"), pattern_text(raw))
+        .otherwise(raw),
+    )
+    anchored = compute_once(patterned, _anchored=anchored_domain(F.col("pattern")))
+    no_sites = F.array().cast("array<string>")
+    no_options = F.create_map().cast("map<string,string>")
+    # Steps that work through arrays come last, in projections that are pruned
+    # when nobody asks for their columns.
+    return (
+        add_normalized(anchored, "raw")
+        .select(
+            *ORDER_KEY, *_carried(lines), "raw", "rule_type", "sep", "section", "pattern", "normalized",
             F.when(kind == fixed.KIND_HEADER, "")
-            .when(F.col("_tokens").isNotNull(), pattern_text(text))
-            .otherwise(F.col("raw")),
-        )
-        .withColumn(
-            "domains",
-            F.when(is_element, site_scope(text, F.col("sep")))
-            .otherwise(F.array().cast("array<string>")),
+            .when(kind == fixed.KIND_HOSTS, F.lower(hosts_target(text)))
+            .otherwise(extract_domain(F.col("pattern"), F.col("_anchored"))).alias("domain"),
+            F.when(is_rule & (F.col("sep") != ""), site_scope(text, F.col("sep")))
+            .otherwise(no_sites).alias("domains"),
+            F.when(F.col("_valid"), options_map(F.col("_tokens")))
+            .otherwise(no_options).alias("options"),
         )
-    )
-    return split.select(
-        *ORDER_KEY, *_carried(lines), "raw", "rule_type", "sep", "pattern", "domains",
-        F.when(kind == fixed.KIND_HEADER, "")
-        .when(kind == fixed.KIND_HOSTS, F.lower(hosts_target(text)))
-        .otherwise(extract_domain(F.col("pattern"))).alias("domain"),
-        F.when(F.size("_tokens") > 0, options_map(F.col("_tokens")))
-        .otherwise(F.create_map().cast("map<string,string>")).alias("options"),
-        parsed_key().alias("parsed_key"),
-        normalize(F.col("raw")).alias("normalized"),
-        section_of(F.col("rule_type")).alias("section"),
+        .withColumn("parsed_key", parsed_key())
     )
 
 
@@ -101,7 +105,7 @@ def rule_comments(lines: DataFrame) -> DataFrame:
         )
     )
     located = carry(
-        marked, ["source"], "place", "target", backwards=True, keep=F.col("comment").isNotNull()
+        stage(marked, "places"), ["source"], "place", "target", backwards=True, keep=F.col("comment").isNotNull()
     )
     ordered = F.sort_array(F.collect_list(F.struct("chunk", "line_no", "comment")))
     return (
