@@ -11,8 +11,6 @@ have the ``lines`` schema plus ``lite``:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
@@ -60,33 +58,61 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cases(bucket: Column, lines: list[Column]) -> Column:
-    return reduce(
-        lambda acc, item: acc.when(bucket == item[0], item[1]),
-        enumerate(lines[1:], 1),
-        F.when(bucket == 0, lines[0]),
-    )
+def _cases(bucket: str, texts: list[str]) -> Column:
+    """Text number ``bucket`` of SQL expressions over n, host, path and apex."""
+    branches = " ".join(f"WHEN {i} THEN concat({t})" for i, t in enumerate(texts))
+    return F.expr(f"CASE {bucket} {branches} END")
+
+
+PAGE_TEXT = [
+    "'||', host, '^'",
+    "'0.0.0.0 ', host",
+    "'@@||', host, '^'",
+    "host, '##.ad'",
+    "'||', upper(host), path, '$script,domain=b.com|a.com'",
+    "'||', apex, '^'",
+    "'z.org,', host, '#@#.ad'",
+    "'! note', n",
+    "'||ads.', apex, '^$third-party'",
+    "'  ||', host, '^  '",
+]
+SYNTAX_TEXT = [
+    "'# hosts comment ', n",
+    "'########'",
+    "'! ===== section ', n, ' ====='",
+    """host, "#%#//scriptlet('x', '", n, "')" """,
+    "host, '#$# script:inject(', n, ')'",
+    "host, '#$#body { margin: 0 }'",
+    "host, '#@$?#div:has(.ad)'",
+    "host, '##+js(abort, ', n, ')'",
+    """host, '$$div[id="', n, '"]'""",
+    "host, '#@$$div'",
+    "'||', host, '^$permissions=autoplay=()', char(92), ', camera=(),script'",
+    "'|http://', host, '/$/ads|'",
+    "'||', host, '^$removeparam=x,~third-party,domain=z.com|a.com'",
+    "'||www.', upper(host), '^$match-case,image'",
+    "'127.0.0.1   ', host, '   # note ', n",
+    "'! Expires: ', n % 7, ' days'",
+    "'! Homepage: https://', host, '/'",
+    "'! comment ', n",
+    "'[Adblock Plus ', n, ']'",
+    "'   '",
+    "host, '#?#div:has(> .', n, ')'",
+    "'z.org, ', host, ' ,~a.org#@#.x'",
+    "'/banner/', n, '/*$script,script,image=1,image=2'",
+    "'@@||', host, '^$,'",
+    "'||www.', host, path, '^'",
+    "'||x.www.', host, '/a/', n, '^'",
+]
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, host, path, apex = (F.col(c) for c in ("n", "host", "path", "apex"))
-    text = [
-        F.concat(F.lit("||"), host, F.lit("^")),
-        F.concat(F.lit("0.0.0.0 "), host),
-        F.concat(F.lit("@@||"), host, F.lit("^")),
-        F.concat(host, F.lit("##.ad")),
-        F.concat(F.lit("||"), F.upper(host), path, F.lit("$script,domain=b.com|a.com")),
-        F.concat(F.lit("||"), apex, F.lit("^")),
-        F.concat(F.lit("z.org,"), host, F.lit("#@#.ad")),
-        F.concat(F.lit("! note"), n),
-        F.concat(F.lit("||ads."), apex, F.lit("^$third-party")),
-        F.concat(F.lit("  ||"), host, F.lit("^  ")),
-    ]
+    n = F.col("n")
     source = (n % 5).cast("int")
     rules = _pages(spark, sf_dir).select(
         F.concat(F.lit("list"), source).alias("source"),
         (source + 1).alias("priority"), source.alias("source_ord"), n.alias("line_no"),
-        _cases(F.floor(n / 5) % 10, text).alias("line"),
+        _cases("floor(n / 5) % 10", PAGE_TEXT).alias("line"),
     )
     heads = (
         rules.select("source", "priority", "source_ord").distinct()
@@ -96,42 +122,13 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def syntax_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, host, path = (F.col(c) for c in ("n", "host", "path"))
-    lit = F.lit
-    text = [
-        F.concat(lit("# hosts comment "), n),
-        lit("########"),
-        F.concat(lit("! ===== section "), n, lit(" =====")),
-        F.concat(host, lit("#%#//scriptlet('x', '"), n, lit("')")),
-        F.concat(host, lit("#$# script:inject("), n, lit(")")),
-        F.concat(host, lit("#$#body { margin: 0 }")),
-        F.concat(host, lit("#@$?#div:has(.ad)")),
-        F.concat(host, lit("##+js(abort, "), n, lit(")")),
-        F.concat(host, lit('$$div[id="'), n, lit('"]')),
-        F.concat(host, lit("#@$$div")),
-        F.concat(lit("||"), host, lit(r"^$permissions=autoplay=()\, camera=(),script")),
-        F.concat(lit("|http://"), host, lit("/$/ads|")),
-        F.concat(lit("||"), host, lit("^$removeparam=x,~third-party,domain=z.com|a.com")),
-        F.concat(lit("||www."), F.upper(host), lit("^$match-case,image")),
-        F.concat(lit("127.0.0.1   "), host, lit("   # note "), n),
-        F.concat(lit("! Expires: "), n % 7, lit(" days")),
-        F.concat(lit("! Homepage: https://"), host, lit("/")),
-        F.concat(lit("! comment "), n),
-        F.concat(lit("[Adblock Plus "), n, lit("]")),
-        lit("   "),
-        F.concat(host, lit("#?#div:has(> ."), n, lit(")")),
-        F.concat(lit("z.org, "), host, lit(" ,~a.org#@#.x")),
-        F.concat(lit("/banner/"), n, lit("/*$script,script,image=1,image=2")),
-        F.concat(lit("@@||"), host, lit("^$,")),
-        F.concat(lit("||www."), host, path, lit("^")),
-        F.concat(lit("||x.www."), host, lit("/a/"), n, lit("^")),
-    ]
-    source = (F.floor(n / len(text)) % 4).cast("int")
+    n = F.col("n")
+    source = (F.floor(n / len(SYNTAX_TEXT)) % 4).cast("int")
     return _finish(
         _pages(spark, sf_dir).select(
             F.concat(F.lit("syntax"), source).alias("source"),
             (source + 2).alias("priority"), (source + 5).alias("source_ord"), n.alias("line_no"),
-            _cases(n % len(text), text).alias("line"),
+            _cases(f"n % {len(SYNTAX_TEXT)}", SYNTAX_TEXT).alias("line"),
         )
     )
 

@@ -375,11 +375,11 @@ ORACLES: dict[str, str] = {
         "SELECT source, line_no, raw, domain FROM rules WHERE raw LIKE '0.0.0.0%' OR raw LIKE '127.0.0.1%'"
     ),
     "rule_types": _all("SELECT source, rule_type, sep, count(*) AS rules FROM rules GROUP BY ALL"),
-    "inject_kinds": _rules("SELECT source, line_no, raw, rule_type AS kind FROM rules WHERE sep IN ('#%#', '#$#')"),
-    "option_token_list": _rules(
+    "inject_kind": _rules("SELECT source, line_no, raw, rule_type AS kind FROM rules WHERE sep IN ('#%#', '#$#')"),
+    "option_tokens": _rules(
         f"SELECT source, line_no, raw, array_to_string(toks, chr(10)) AS tokens FROM rules WHERE {OPTION_ROWS}"
     ),
-    "options_valid_flags": _rules(f"SELECT source, line_no, raw, valid FROM rules WHERE {OPTION_ROWS}"),
+    "options_valid": _rules(f"SELECT source, line_no, raw, valid FROM rules WHERE {OPTION_ROWS}"),
     "rule_options": _rules(
         """SELECT r.source, r.line_no, r.pattern,
              coalesce(string_agg(o.key || coalesce('=' || o.value, ''), chr(10)
@@ -404,7 +404,7 @@ ORACLES: dict[str, str] = {
     "parse_key": _rules("SELECT source, line_no, raw, parsed_key FROM rules"),
     "normalized": _all("SELECT source, normalized, count(*) AS rules FROM rules GROUP BY ALL"),
     "match_case_key": _rules(f"SELECT source, line_no, raw, match_case, normalized FROM rules WHERE {OPTION_ROWS}"),
-    "stripped_www": _with(
+    "strip_www": _with(
         PAGES, RULE_LINES,
         select=r"""SELECT source, line_no, regexp_replace(line, '([^a-z0-9])www\.', '\1', 'g') AS line
             FROM rule_lines WHERE contains(line, 'www.')""",

@@ -26,7 +26,8 @@ KEEP_DAYS = 14
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    """Register under the function's name; a ``_query`` ending avoids imported names."""
+    QUERIES[f.__name__.removesuffix("_query")] = f
     return f
 
 
@@ -206,7 +207,7 @@ def rule_types(spark, d):
 
 
 @query
-def inject_kinds(spark, d):
+def inject_kind_query(spark, d):
     injected = _syntax_rules(spark, d).filter(F.col("sep").isin("#%#", "#$#"))
     kind = F.when(F.col("sep") == "#%#", inject_kind(F.col("raw"), "#%#")).otherwise(
         inject_kind(F.col("raw"), "#$#")
@@ -222,12 +223,12 @@ def _with_options(spark, d):
 
 
 @query
-def option_token_list(spark, d):
+def option_tokens_query(spark, d):
     return _with_options(spark, d).select("source", "line_no", "raw", _joined("tokens").alias("tokens"))
 
 
 @query
-def options_valid_flags(spark, d):
+def options_valid_query(spark, d):
     valid = options_valid(F.col("options_text"), F.col("tokens"))
     return _with_options(spark, d).select("source", "line_no", "raw", valid.alias("valid"))
 
@@ -295,7 +296,7 @@ def match_case_key(spark, d):
 
 
 @query
-def stripped_www(spark, d):
+def strip_www_query(spark, d):
     lines = c.rule_lines(spark, d).filter(F.contains("line", F.lit("www.")))
     return lines.select("source", "line_no", strip_www(F.col("line")).alias("line"))
 

@@ -119,12 +119,12 @@ PAT_DOTTED_DOMAIN = rf"^({_LABEL}(?:\.{_LABEL})++)"
 PAT_KEY_DOMAIN = rf"^\|*({_LABEL}(?:\.{_LABEL})++)"
 PAT_HOSTS = rf"^(?:127\.0\.0\.1|0\.0\.0\.0)[{WS_CLASS}]+(.+)"
 PAT_WWW = r"([^a-z0-9])www\."
-PAT_SPACE_RUN = rf"[{WS_CLASS}]+"
+PAT_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 PAT_OPTION_SEGMENT = r"[^,$]+|[,$]"
 # Cheap tests before collapsing: two spaces or no plain ASCII text at all, then
 # two spaces or white space other than the space.
 PAT_MAYBE_SPACE = r"  |[^\x20-\x7e]"
-PAT_ODD_SPACE = rf"  |[{WS_CLASS}&&[^ ]]"
+PAT_ODD_SPACE = r"(?U)[\s\x1c-\x1f](?<! )|  "
 PAT_MATCH_CASE = rf"(?:^|,)[{WS_CLASS}]*match-case[{WS_CLASS}]*(?:[=,]|\z)"
 # Tokens joined by line feeds: one that is a known name or a key with a value.
 PAT_VALID_TOKEN = (

@@ -16,6 +16,7 @@ from ..sources.lists import SNAPSHOT_FILES, decode, list_lines, with_source
 from ..staging import stage
 
 _STATE = "source string, token string"
+_RESULTS = "source string, path string, token string, error string, changed boolean"
 
 
 def _state(spark: SparkSession, root: str, batch: int) -> DataFrame:
@@ -37,17 +38,23 @@ def apply_batch(files: DataFrame, batch: int, sources: DataFrame, root: str, out
     newest = files.groupBy("source").agg(F.max(F.struct("run_id", "modificationTime", "path")).alias("n"))
     landed = files.join(newest.select("source", F.col("n.path").alias("path")), ["source", "path"], "left_semi")
     snapshots = landed.select(
-        "source", "run_id", "content",
+        "source", "path", "content",
         F.lit("").alias("token"), F.lit(None).cast("string").alias("error"),
     )
     state = _state(spark, root, batch)
-    results = detect_changes(snapshots, state)
-    upsert_state(state, usable(results)).write.mode("overwrite").parquet(
-        f"{root}/state/batch={batch}"
+    # Contents are hashed here and read once more below, for what changed.
+    (
+        usable(detect_changes(snapshots, state)).drop("content")
+        .write.mode("overwrite").parquet(f"{root}/results/batch={batch}")
     )
-    fresh = usable(results).filter("changed").select("source", decode(F.col("content")).alias("text"))
-    if fresh.isEmpty():
+    results = spark.read.schema(_RESULTS).parquet(f"{root}/results/batch={batch}")
+    upsert_state(state, results).write.mode("overwrite").parquet(f"{root}/state/batch={batch}")
+    changed = results.filter("changed").select("source", "path")
+    if changed.isEmpty():
         return False
+    fresh = files.join(changed, ["source", "path"], "left_semi").select(
+        "source", decode(F.col("content")).alias("text")
+    )
     (
         list_lines(fresh).select("chunk", "line_no", "line", "source")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
