@@ -34,8 +34,9 @@ def apply_batch(files: DataFrame, batch: int, sources: DataFrame, root: str, out
     kept per source: sources without a new snapshot keep their last good one.
     """
     spark = files.sparkSession
-    # Pick files by name first: contents are only read for the newest ones.
-    newest = files.groupBy("source").agg(F.max(F.struct("run_id", "modificationTime", "path")).alias("n"))
+    # Pick files by name first: contents are only read for the newest usable ones.
+    filled = files.filter(F.col("length") > 0)
+    newest = filled.groupBy("source").agg(F.max(F.struct("run_id", "modificationTime", "path")).alias("n"))
     landed = files.join(newest.select("source", F.col("n.path").alias("path")), ["source", "path"], "left_semi")
     snapshots = landed.select(
         "source", "path", "content",

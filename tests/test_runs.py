@@ -215,7 +215,8 @@ def test_refresh_takes_new_files_and_keeps_the_rest(spark, tmp_path):
     assert published(out / "full") == ["||b.com^", "||x.a.com^", "||c.com^"]
     assert published(out / "lite") == ["||b.com^"]
     before = sorted(p.name for p in (out / "full").glob("part-*"))
-    land(landing, "3", {"one": "||b.com^\n", "two": ""})
+    land(landing, "3", {"one": "||b.com^\n"})
+    land(landing, "4", {"one": "", "two": ""})
     go()
     assert sorted(p.name for p in (out / "full").glob("part-*")) == before
 
