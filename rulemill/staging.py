@@ -1,43 +1,65 @@
 """Written intermediate tables, so that several readers share one computation.
 
-A staged table lives in the folder the cluster names in ``spark.checkpoint.dir``
-and survives lost executors. A session that names none and runs on one machine
-(tests) gets a folder of its own; on a cluster without a shared folder nothing
-is written and the plan is used as it is.
+A staged table is Parquet in a folder that all executors share: the one named by
+``spark.checkpoint.dir``, or a folder in the session's warehouse where that is
+unset. It survives lost executors, and columns nobody reads are pruned. The
+plan is the same everywhere; a cluster whose warehouse is a plain local path
+and that names no checkpoint folder is an error.
+
+``drop_staged`` deletes what a session has staged since a mark, for callers that
+know when their results have been consumed.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
+
 
+def _filesystem(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-def work_dir(spark: SparkSession) -> str | None:
+
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables."""
     shared = spark.conf.get(_CONF, None)
     if shared:
         return shared
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
-    app = spark.conf.get("spark.app.id", "")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="rulemill-")
-    return _local_dirs[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith(("file:", "/"))
+    if local and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError(f"{_CONF} must name a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_staged"
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once and return the table; ``df`` itself without a work folder."""
+    """Write ``df`` once and return the table."""
     spark = df.sparkSession
-    root = work_dir(spark)
-    if root is None:
-        return df
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_mark(spark: SparkSession) -> int:
+    """A point in time for ``drop_staged``."""
+    return len(_staged.get(spark.sparkContext.applicationId, []))
+
+
+def drop_staged(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables staged after the mark; returns how many."""
+    paths = _staged.get(spark.sparkContext.applicationId, [])
+    gone = paths[since:]
+    for path in gone:
+        place, files = _filesystem(spark, path)
+        files.delete(place, True)
+    del paths[since:]
+    return len(gone)
