@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from . import op09_mixing
+from . import op04_dac, op09_mixing, op10_lines
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_dac(spark, sf_dir):
+    return op04_dac.token_files(spark, _table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark, sf_dir):
     return op09_mixing.mixed_rows(spark, _table(spark, sf_dir, "documents"))
 
 
+def op10_lines_query(spark, sf_dir):
+    return op10_lines.repeated_units(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_dac": op4_dac,
     "op9_mixing": op9_mixing,
+    "op10_lines": op10_lines_query,
 }
 ORACLES = {
     "op9_mixing": op09_mixing.ORACLE,
+    "op10_lines": op10_lines.ORACLE,
 }
