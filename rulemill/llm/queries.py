@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op04_dac, op08_minhash, op09_mixing, op10_lines
+from . import op04_dac, op05_licenses, op08_minhash, op09_mixing, op10_lines
 
 
 def _table(spark, sf_dir, name):
@@ -13,6 +13,10 @@ def op4_dac(spark, sf_dir):
     return op04_dac.token_files(spark, _table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark, sf_dir):
+    return op05_licenses.license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark, sf_dir):
     return op08_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op10_lines_query(spark, sf_dir):
 
 QUERIES = {
     "op4_dac": op4_dac,
+    "op5_licenses": op5_licenses,
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
     "op10_lines": op10_lines_query,
