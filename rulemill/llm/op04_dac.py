@@ -33,13 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..staging import stage
+from .textbytes import slices
 
 END_ID = 1
 CHUNK_BITS = (8, 8, 16)
 RANK_BLOCK = 512
 SEGMENT_TOKENS = 1 << 19
-#: Distinct words whose ids a worker keeps; beyond it the memory starts anew.
-CACHED_WORDS = 400_000
+#: Runs of text whose ids a worker keeps per generation.
+CACHED_WORDS = 250_000
 
 FILES = ("part int, seq int, first long, n_tokens long, doc_ids array<long>, ends array<long>, "
          "payload array<binary>, bitmaps array<binary>, ranks array<binary>")
@@ -109,29 +110,62 @@ class Segment:
 # Tokens
 
 
+class WordIds:
+    """Ids of texts by the runs between blanks or line feeds.
+
+    The tokenizer drops white space and lower-cases, and its pieces never span
+    it, so a run's ids do not depend on its neighbours. A run's closing points
+    and commas are a piece of their own after a letter or digit, and ASCII case
+    makes no difference; so few runs have to be encoded. Two generations of
+    ``CACHED_WORDS`` runs are kept: those in use move to the younger one.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def parts(run: str) -> tuple[str, str]:
+        """The run as (word, closing points and commas)."""
+        word = run.rstrip(".,")
+        if not word or not (word[-1].isascii() and word[-1].isalnum()):
+            word = run
+        return word.lower() if word.isascii() else word, run[len(word):]
+
+    def _recall(self, runs: set[str]) -> list[str]:
+        """Move known runs to the younger generation; returns the unknown ones."""
+        unknown = []
+        for run in runs:
+            if run not in self.young:
+                ids = self.old.get(run)
+                if ids is None:
+                    unknown.append(run)
+                else:
+                    self.young[run] = ids
+        return unknown
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        unknown = {run: self.parts(run) for run in self._recall(set().union(*split))}
+        new = self._recall({part for both in unknown.values() for part in both})
+        for part, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.young[part] = np.array(coded.ids, "<u4").tobytes()
+        known = self.young
+        for run, (word, closing) in unknown.items():
+            known[run] = known[word] + known[closing]
+        return [np.frombuffer(b"".join([known[run] for run in runs]), "<u4") for runs in split]
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
-
-
-def token_ids(texts: list[str], path: str) -> Iterator[list[int]]:
-    """Ids of each text. The tokenizer treats runs between blanks or line feeds
-    alone (both are dropped), so each distinct run is encoded once per worker."""
-    tokenizer, known = _tokenizer(path)
-    runs = [text.replace("\n", " ").split(" ") for text in texts]
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    new = list({run for text in runs for run in text if run not in known})
-    for run, coded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[run] = coded.ids
-    for text in runs:
-        ids: list[int] = []
-        for run in text:
-            ids += known[run]
-        yield ids
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def _write_segments(path: str, chunk_bits: tuple):
@@ -152,16 +186,16 @@ def _write_segments(path: str, chunk_bits: tuple):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
+            for text_slice in slices(batch.column("text")):
+                some = batch.slice(text_slice.lo, text_slice.hi - text_slice.lo)
                 texts = some.column("text").fill_null("").to_pylist()
-                for doc, ids in zip(some.column("doc_id").to_pylist(), token_ids(texts, path)):
+                for doc, ids in zip(some.column("doc_id").to_pylist(), _word_ids(path).ids(texts)):
                     if held and ends[-1] + len(ids) + 1 > SEGMENT_TOKENS:
                         yield segment()
                         seq, first = seq + 1, first + ends[-1]
                         docs, ends, held = [], [], []
                     docs.append(doc)
-                    held.append(np.array([*ids, END_ID], np.uint32))
+                    held.append(np.append(ids, np.uint32(END_ID)))
                     ends.append((ends[-1] if ends else 0) + len(ids) + 1)
         if held:
             yield segment()
