@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op03_templates, op04_dac, op05_licenses, op08_minhash, op09_mixing, op10_lines
+from . import op03_templates, op04_dac, op05_licenses, op07_language, op08_minhash, op09_mixing, op10_lines
 
 
 def _table(spark, sf_dir, name):
@@ -21,6 +21,10 @@ def op5_licenses(spark, sf_dir):
     return op05_licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark, sf_dir):
+    return op07_language.page_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark, sf_dir):
     return op08_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op3_templates": op3_templates,
     "op4_dac": op4_dac,
     "op5_licenses": op5_licenses,
+    "op7_language": op7_language,
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
     "op10_lines": op10_lines_query,
