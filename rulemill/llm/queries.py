@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import op03_templates, op04_dac, op05_licenses, op07_language, op08_minhash, op09_mixing, op10_lines
+from . import op02_toxicity, op03_templates, op04_dac, op05_licenses, op07_language, op08_minhash, op09_mixing, op10_lines
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark, sf_dir):
+    return op02_toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_templates(spark, sf_dir):
     return op03_templates.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +42,7 @@ def op10_lines_query(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_templates": op3_templates,
     "op4_dac": op4_dac,
     "op5_licenses": op5_licenses,
