@@ -23,12 +23,15 @@ an empty file set; other columns are ignored. A segment ends after
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -39,8 +42,8 @@ END_ID = 1
 CHUNK_BITS = (8, 8, 16)
 RANK_BLOCK = 512
 SEGMENT_TOKENS = 1 << 19
-#: Runs of text whose ids a worker keeps per generation.
-CACHED_WORDS = 250_000
+#: Runs of text whose ids a worker keeps.
+CACHED_WORDS = 600_000
 
 FILES = ("part int, seq int, first long, n_tokens long, doc_ids array<long>, ends array<long>, "
          "payload array<binary>, bitmaps array<binary>, ranks array<binary>")
@@ -110,57 +113,92 @@ class Segment:
 # Tokens
 
 
+def _byte_chars() -> list[str]:
+    """The printable character that byte-level BPE writes for each byte."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
+_BYTE_CHARS = _byte_chars()
+
+
 class WordIds:
     """Ids of texts by the runs between blanks or line feeds.
 
-    The tokenizer drops white space and lower-cases, and its pieces never span
-    it, so a run's ids do not depend on its neighbours. A run's closing points
-    and commas are a piece of their own after a letter or digit, and ASCII case
-    makes no difference; so few runs have to be encoded. Two generations of
-    ``CACHED_WORDS`` runs are kept: those in use move to the younger one.
+    A tokenizer that drops white space and lower-cases, with pieces that never
+    span it, gives a run the same ids whatever its neighbours. A run of ASCII
+    and Latin letters is cut into the tokenizer's pieces here, and each distinct
+    piece goes to the BPE model once, past the normaliser's and splitter's cost
+    per call; other runs go through the whole tokenizer. Beyond ``CACHED_WORDS``
+    runs and pieces, only those of the last slice stay in memory.
+
+    ``PROBES`` check all this when the tokenizer is loaded; one that behaves
+    otherwise (it keeps blanks, or case) encodes whole texts instead.
     """
 
+    PROBES = ["Some plain Words, with a stop.", "UPPER lower\nÀÉß naïve, é.", "x,. 3.5 a's don't. \n (z) we'll, 12th", "antidisestablishmentarianism überfließend."]
+    #: The splitter's pattern for lower-case Latin text.
+    PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    PLAIN = re.compile("[!-~ß-öø-ÿ]*")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    @staticmethod
-    def parts(run: str) -> tuple[str, str]:
-        """The run as (word, closing points and commas)."""
-        word = run.rstrip(".,")
-        if not word or not (word[-1].isascii() and word[-1].isalnum()):
-            word = run
-        return word.lower() if word.isascii() else word, run[len(word):]
-
-    def _recall(self, runs: set[str]) -> list[str]:
-        """Move known runs to the younger generation; returns the unknown ones."""
-        unknown = []
+        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.as_bytes = {ord(c): "".join(_BYTE_CHARS[b] for b in c.encode()) for c in map(chr, range(256))}
+        whole = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(self.PROBES, add_special_tokens=False)]
+        self.by_runs = True
+        self.by_runs = all(np.array_equal(a, b) for a, b in zip(whole, self.ids(pa.array(self.PROBES))))
+
+    def pieces(self, run: str) -> list[str] | None:
+        """Pieces of a run; None where the tokenizer has to cut it."""
+        low = run.lower()
+        if self.PLAIN.fullmatch(low) and "<|" not in low:
+            return self.PIECES.findall(low)
+        return None
+
+    def _learn(self, runs: list[str]) -> None:
+        known, whole = self.known, []
         for run in runs:
-            if run not in self.young:
-                ids = self.old.get(run)
-                if ids is None:
-                    unknown.append(run)
-                else:
-                    self.young[run] = ids
-        return unknown
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        if len(self.young) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        unknown = {run: self.parts(run) for run in self._recall(set().union(*split))}
-        new = self._recall({part for both in unknown.values() for part in both})
-        for part, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.young[part] = np.array(coded.ids, "<u4").tobytes()
-        known = self.young
-        for run, (word, closing) in unknown.items():
-            known[run] = known[word] + known[closing]
-        return [np.frombuffer(b"".join([known[run] for run in runs]), "<u4") for runs in split]
+            pieces = self.pieces(run)
+            if pieces is None:
+                whole.append(run)
+                continue
+            ids = b""
+            for piece in pieces:
+                code = known.get(piece)
+                if code is None:
+                    tokens = self.model.tokenize(piece if piece.isascii() else piece.translate(self.as_bytes))
+                    code = known[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+                ids += code
+            known[run] = ids
+        for run, coded in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            known[run] = np.array(coded.ids, "<u4").tobytes()
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; a null one has none."""
+        if not self.by_runs:
+            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.string()).fill_null(""), "\n", " "), " ")
+        encoded = split.flatten().dictionary_encode()
+        runs, at = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
+        known = self.known
+        self._learn([run for run in runs if run not in known])
+        coded = [known[run] for run in runs]
+        if len(known) > CACHED_WORDS:
+            self.known = dict(zip(runs, coded))
+        # Put the runs' ids in the order of the texts.
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        begin = np.cumsum(size) - size
+        ends = np.cumsum(size[at])
+        take = np.repeat(begin[at] - ends + size[at], size[at]) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(coded), "<u4")[take]
+        borders = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -188,8 +226,7 @@ def _write_segments(path: str, chunk_bits: tuple):
         for batch in batches:
             for text_slice in slices(batch.column("text")):
                 some = batch.slice(text_slice.lo, text_slice.hi - text_slice.lo)
-                texts = some.column("text").fill_null("").to_pylist()
-                for doc, ids in zip(some.column("doc_id").to_pylist(), _word_ids(path).ids(texts)):
+                for doc, ids in zip(some.column("doc_id").to_pylist(), _word_ids(path).ids(some.column("text"))):
                     if held and ends[-1] + len(ids) + 1 > SEGMENT_TOKENS:
                         yield segment()
                         seq, first = seq + 1, first + ends[-1]
