@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import op02_toxicity, op03_templates, op04_dac, op05_licenses, op07_language, op08_minhash, op09_mixing, op10_lines
+from . import op01_substrings, op02_toxicity, op03_templates, op04_dac, op05_licenses, op07_language, op08_minhash, op09_mixing, op10_lines
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substrings(spark, sf_dir):
+    found = op01_substrings.repeated_substrings(_table(spark, sf_dir, "documents"))
+    return found.drop("removed")
+
+
 def op2_toxicity(spark, sf_dir):
     return op02_toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -42,6 +47,7 @@ def op10_lines_query(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_substrings": op1_substrings,
     "op2_toxicity": op2_toxicity,
     "op3_templates": op3_templates,
     "op4_dac": op4_dac,
