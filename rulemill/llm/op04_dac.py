@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..staging import stage
-from .textbytes import slices
+from .textbytes import SLICE_BYTES, slices
 
 END_ID = 1
 CHUNK_BITS = (8, 8, 16)
@@ -54,12 +54,12 @@ FILES = ("part int, seq int, first long, n_tokens long, doc_ids array<long>, end
 
 def encode(ids: np.ndarray, chunk_bits: tuple = CHUNK_BITS) -> tuple[list[bytes], list[bytes], list[bytes]]:
     """Payload, continuation bitmap and rank directory of each level."""
-    rest = ids.astype(np.uint64)
+    rest = ids.astype(np.uint32)
     payload, bitmaps, ranks = [], [], []
     for level, bits in enumerate(chunk_bits):
         kind = f"<u{bits // 8}"
-        payload.append((rest & np.uint64((1 << bits) - 1)).astype(kind).tobytes())
-        rest = rest >> np.uint64(bits)
+        payload.append(rest.astype(kind).tobytes())
+        rest = rest >> np.uint32(bits)
         goes_on = rest > 0
         packed = np.packbits(goes_on, bitorder="little")
         counts = np.add.reduceat(goes_on, np.arange(0, len(goes_on), RANK_BLOCK)) if len(goes_on) else np.zeros(0, np.int64)
@@ -101,13 +101,13 @@ class Segment:
     def all(self) -> np.ndarray:
         """All ids in order, level by level from the last."""
         last = len(self.payload) - 1
-        values = self.payload[last].astype(np.uint64)
+        values = self.payload[last].astype(np.uint32)
         for level in range(last - 1, -1, -1):
-            lower = self.payload[level].astype(np.uint64)
+            lower = self.payload[level].astype(np.uint32)
             more = np.flatnonzero(np.unpackbits(self.bitmaps[level], count=len(lower), bitorder="little"))
-            lower[more] |= values << np.uint64(self.bits[level])
+            lower[more] |= values << np.uint32(self.bits[level])
             values = lower
-        return values.astype("<u4")
+        return values.astype("<u4", copy=False)
 
 
 # Tokens
@@ -150,9 +150,10 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.as_bytes = {ord(c): "".join(_BYTE_CHARS[b] for b in c.encode()) for c in map(chr, range(256))}
-        whole = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(self.PROBES, add_special_tokens=False)]
+        self.by_runs = False
+        whole = self.ids(pa.array(self.PROBES))
         self.by_runs = True
-        self.by_runs = all(np.array_equal(a, b) for a, b in zip(whole, self.ids(pa.array(self.PROBES))))
+        self.by_runs = all(map(np.array_equal, whole, self.ids(pa.array(self.PROBES))))
 
     def pieces(self, run: str) -> list[str] | None:
         """Pieces of a run; None where the tokenizer has to cut it."""
@@ -179,10 +180,11 @@ class WordIds:
         for run, coded in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
             known[run] = np.array(coded.ids, "<u4").tobytes()
 
-    def ids(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text; a null one has none."""
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, and the place where each text's ids end."""
         if not self.by_runs:
-            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+            whole = [e.ids for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in whole for i in ids], "<u4"), np.cumsum([len(ids) for ids in whole])
         split = pc.split_pattern(pc.replace_substring(texts.cast(pa.string()).fill_null(""), "\n", " "), " ")
         encoded = split.flatten().dictionary_encode()
         runs, at = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
@@ -196,9 +198,8 @@ class WordIds:
         begin = np.cumsum(size) - size
         ends = np.cumsum(size[at])
         take = np.repeat(begin[at] - ends + size[at], size[at]) + np.arange(ends[-1] if len(ends) else 0)
-        ids = np.frombuffer(b"".join(coded), "<u4")[take]
-        borders = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return [ids[a:b] for a, b in zip(borders[:-1], borders[1:])]
+        borders = np.concatenate([[0], ends])[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
+        return np.frombuffer(b"".join(coded), "<u4")[take], borders
 
 
 @lru_cache(maxsize=2)
@@ -224,16 +225,27 @@ def _write_segments(path: str, chunk_bits: tuple):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for text_slice in slices(batch.column("text")):
+            for text_slice in slices(batch.column("text"), 4 * SLICE_BYTES):
                 some = batch.slice(text_slice.lo, text_slice.hi - text_slice.lo)
-                for doc, ids in zip(some.column("doc_id").to_pylist(), _word_ids(path).ids(some.column("text"))):
-                    if held and ends[-1] + len(ids) + 1 > SEGMENT_TOKENS:
-                        yield segment()
-                        seq, first = seq + 1, first + ends[-1]
-                        docs, ends, held = [], [], []
-                    docs.append(doc)
-                    held.append(np.append(ids, np.uint32(END_ID)))
-                    ends.append((ends[-1] if ends else 0) + len(ids) + 1)
+                ids, stops = _word_ids(path).ids(some.column("text"))
+                ids = np.insert(ids, stops, END_ID)
+                stops = stops + np.arange(1, len(stops) + 1)
+                names, at, used = some.column("doc_id").to_pylist(), 0, 0
+                while at < len(names):
+                    # As many documents as the segment has room for, one at least.
+                    size = ends[-1] if ends else 0
+                    fit = int(np.searchsorted(stops, used + SEGMENT_TOKENS - size, "right"))
+                    if fit <= at:
+                        if ends:
+                            yield segment()
+                            seq, first = seq + 1, first + ends[-1]
+                            docs, ends, held = [], [], []
+                            continue
+                        fit = at + 1
+                    docs += names[at:fit]
+                    ends += (stops[at:fit] - used + size).tolist()
+                    held.append(ids[used:stops[fit - 1]])
+                    at, used = fit, int(stops[fit - 1])
         if held:
             yield segment()
 
