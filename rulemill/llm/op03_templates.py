@@ -179,6 +179,7 @@ def contamination(docs: DataFrame, items: DataFrame, min_cover: float = MIN_COVE
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a contaminated doc_id."""
-    bad = stage(contamination(docs, items).filter("doc_id is not null").select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that hold no item; rows are told apart by their hash."""
+    row = F.xxhash64("doc_id", "text")
+    bad = stage(contamination(docs.select(row.alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return docs.join(bad, row == F.col("_row"), "left_anti").select(*docs.columns)

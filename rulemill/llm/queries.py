@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import op01_substrings, op02_toxicity, op03_templates, op04_dac, op05_licenses, op07_language, op08_minhash, op09_mixing, op10_lines
+import corpus_pipeline
+
+from . import op01_substrings, op02_toxicity, op03_templates, op04_dac, op05_licenses, op06_forest, op07_language, op08_minhash, op09_mixing, op10_lines
 
 
 def _table(spark, sf_dir, name):
@@ -30,6 +32,10 @@ def op5_licenses(spark, sf_dir):
     return op05_licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op6_forest(spark, sf_dir):
+    return op06_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_language(spark, sf_dir):
     return op07_language.page_languages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
 
@@ -52,12 +58,15 @@ QUERIES = {
     "op3_templates": op3_templates,
     "op4_dac": op4_dac,
     "op5_licenses": op5_licenses,
+    "op6_forest": op6_forest,
     "op7_language": op7_language,
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
     "op10_lines": op10_lines_query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
+    "op6_forest": op06_forest.ORACLE,
     "op8_minhash": op08_minhash.ORACLE,
     "op9_mixing": op09_mixing.ORACLE,
     "op10_lines": op10_lines.ORACLE,
