@@ -9,11 +9,12 @@ of 4; a pair of similarity s shares a table with probability
 
 Links are confirmed on the full shingle sets of the two texts. Only components
 are asked for, so a bucket is not turned into all its pairs: sets equal by a
-128-bit digest become one node first; then, in ``STAR_ROUNDS`` rounds, every
-node of a bucket is compared with one leader of it and verified links merge
-components; what still spans components in a bucket is then compared pair by
-pair, so the leaders lose nothing. Buckets are aggregates and equi-joins over
-written tables, which adaptive execution splits where they are skewed.
+128-bit digest become one node first; then every node of a bucket is compared
+with its leader, the node with the most company, and verified links merge
+components; components that still share a bucket are then compared in block
+pairs of bounded size, from which only links come out. So leaders lose nothing.
+Buckets are aggregates and equi-joins over written tables, which adaptive
+execution splits where they are skewed.
 
 Cases: a null or empty text, or one without words, has an empty set (0
 shingles) and links with nothing; fewer than ``K`` words are one shingle; rows
@@ -39,7 +40,8 @@ from .textbytes import SPACE, Slice, U, as_long, gram_hashes, mix, slices, words
 K = 4
 SIMILARITY = 80  # in 100
 SIDE, HALF = 8, 2
-STAR_ROUNDS = 2
+#: Bytes of text on one side of a block pair.
+BLOCK_BYTES = 1 << 20
 _SEEDS = np.random.default_rng(8).integers(1, 1 << 63, 2 * SIDE * HALF, dtype=np.uint64) * U(2) + U(1)
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, lefts array<long>, rights array<long>"
@@ -142,16 +144,80 @@ def _verify(k: int, similarity: int):
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int = K, similarity: int = SIMILARITY) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").cast("binary").alias("text_a"))
-    other = texts.select(F.col("doc_id").alias("b"), F.col("text").cast("binary").alias("text_b"))
+    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(other, "b").join(one, "a").select("a", "b", "text_a", "text_b")
     return both.mapInArrow(_verify(k, similarity), "a long, b long")
 
 
+FOUND = "a long, b long"
+
+
+def _compare(k: int, similarity: int):
+    """Similar pairs between the two sides of a block pair, one for each row of the lesser side."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        lesser = np.array(group.column("lesser").to_pylist(), bool)
+        ids = group.column("doc_id").to_numpy()
+        texts = group.column("text").combine_chunks()
+        sets = [s for part in slices(texts) for s in shingle_sets(part, k)]
+        large = np.flatnonzero(~lesser)
+        owner = np.repeat(large, [len(sets[i]) for i in large])
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in large)])
+        order = np.argsort(hashes, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+        size = np.array([len(s) for s in sets], np.int64)
+        links = []
+        for i in np.flatnonzero(lesser):
+            lo, hi = (np.searchsorted(hashes, sets[i], side) for side in ("left", "right"))
+            width = hi - lo
+            at = np.repeat(lo - np.cumsum(width) + width, width) + np.arange(width.sum())
+            common = np.bincount(owner[at], minlength=len(sets))
+            for j in np.flatnonzero((common > 0) & (100 * common >= similarity * (size[i] + size - common))):
+                one, other = (word_set(texts[int(x)].as_buffer().to_pybytes(), k) for x in (i, j))
+                same = len(one & other)
+                if 100 * same >= similarity * (len(one) + len(other) - same):
+                    links.append((ids[i], ids[j]))
+                    break
+        return pa.table({c: pa.array([x[n] for x in links], pa.int64()) for n, c in enumerate("ab")})
+
+    return compare
+
+
+def block_links(related: DataFrame, members: DataFrame, k: int, similarity: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Links between related components: (one, two) and (root, doc_id, text).
+
+    The lesser component of each relation is compared with the larger one in
+    pairs of blocks of bounded size, so a component of any size is spread over
+    tasks, and only links leave a task.
+    """
+    sized = stage(members.groupBy("root").agg(F.sum(F.octet_length("text") + 1).alias("bytes")), "component-sizes")
+    one, two = (sized.select(F.col("root").alias(c), F.col("bytes").alias(f"bytes_{c}")) for c in ("one", "two"))
+    swap = F.struct("bytes_one", "one") > F.struct(F.col("bytes_two").alias("bytes_one"), F.col("two").alias("one"))
+    relation = stage(
+        related.join(one, "one").join(two, "two").select(
+            F.when(swap, F.col("one")).otherwise(F.col("two")).alias("large"), F.when(swap, F.col("two")).otherwise(F.col("one")).alias("lesser_root"),
+            F.least("bytes_one", "bytes_two").alias("bytes"),
+        ), "relations")
+    blocks = stage(
+        relation.groupBy("large").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("lesser_blocks"))
+        .join(sized.withColumnRenamed("root", "large"), "large")
+        .select("large", "lesser_blocks", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("large_blocks")), "blocks")
+    place = lambda n: F.pmod(F.xxhash64("doc_id", "text"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    large = members.join(blocks, F.col("root") == F.col("large")).select("large", place("large_blocks").alias("i"), every("lesser_blocks").alias("j"), F.lit(False).alias("lesser"), "doc_id", "text")
+    lesser = (
+        members.join(relation.select("large", F.col("lesser_root").alias("root")), "root").join(blocks, "large")
+        .select("large", every("large_blocks").alias("i"), place("lesser_blocks").alias("j"), F.lit(True).alias("lesser"), "doc_id", "text")
+    )
+    return large.unionByName(lesser).groupBy("large", "i", "j").applyInArrow(_compare(k, similarity), FOUND)
+
+
 # Links
 
 
-def near_links(docs: DataFrame, signed: DataFrame, k: int = K, similarity: int = SIMILARITY, side: int = SIDE, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def near_links(docs: DataFrame, signed: DataFrame, k: int = K, similarity: int = SIMILARITY, side: int = SIDE) -> DataFrame:
     """Links (a, b) that connect every component of similar documents."""
     named = signed.filter("doc_id is not null and n_shingles > 0")
     firsts = stage(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "sets")
@@ -164,43 +230,34 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int = K, similarity: int =
         lambda i: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda j: F.xxhash64(i, j, F.get("lefts", i), F.get("rights", j))),
     )))
     keyed = nodes.select(F.col("doc_id").alias("a"), "n_shingles", table.alias("key"))
-    shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared-keys")
+    shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-keys")
     rows = stage(keyed.join(shared, "key"), "buckets")
-    texts = stage(docs.select("doc_id", "text").join(rows.select(F.col("a").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id", "text"]), "candidates")
-    links, tried, left = same, None, rows
-    for turn in range(star_rounds + 1):
-        if turn:
-            roots = stage(components(links), "roots")
-            left = (
-                rows.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a"))
-            )
-            left = stage(left, "roots-in-buckets")
-            open_keys = stage(left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key"), "open-keys")
-            left = stage(left.join(open_keys, "key"), "open-buckets")
-        if turn < star_rounds:
-            # Another leader each round, the same one in all tables if it can be.
-            order = F.struct((F.xxhash64("a", F.lit(turn)) if turn else F.col("a")).alias("place"), "a", "n_shingles")
-            leaders = stage(left.groupBy("key").agg(F.min(order).alias("lead")).select("key", F.col("lead.a").alias("b"), F.col("lead.n_shingles").alias("n_b")), "leaders")
-            pairs = left.join(leaders, "key")
-        else:
-            other = left.select("key", F.col("a").alias("b"), F.col("n_shingles").alias("n_b"), F.col("root").alias("root_b"))
-            pairs = left.join(other, "key").filter("root <> root_b and a < b")
-        # Sets of too different sizes cannot be similar.
-        fits = F.greatest("n_shingles", "n_b") * similarity <= F.least("n_shingles", "n_b") * 100
-        pairs = stage(pairs.filter((F.col("a") != F.col("b")) & fits).select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).distinct(), "pairs")
-        if tried is not None:
-            pairs = stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        tried = pairs if tried is None else tried.select("a", "b").unionByName(pairs.select("a", "b"))
-        links = links.unionByName(stage(confirmed(pairs, texts, k, similarity), "near-links"))
-    return links
-
-
-def near_duplicates(docs: DataFrame, k: int = K, similarity: int = SIMILARITY, side: int = SIDE, half: int = HALF, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+    texts = stage(docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(rows.select(F.col("a").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id", "text"]), "candidates")
+    # The node with the most company leads a bucket: an original before its copies.
+    company = stage(rows.groupBy("a", "n_shingles").agg(F.sum("n").alias("company")), "company")
+    led = rows.select("key", "a").join(company, "a")
+    leaders = stage(led.groupBy("key").agg(F.max(F.struct("company", "a", "n_shingles")).alias("lead")).select("key", F.col("lead.a").alias("b"), F.col("lead.n_shingles").alias("n_b")), "leaders")
+    # Sets of too different sizes cannot be similar.
+    fits = F.greatest("n_shingles", "n_b") * similarity <= F.least("n_shingles", "n_b") * 100
+    pairs = stage(rows.join(leaders, "key").filter((F.col("a") != F.col("b")) & fits).select("a", "b").distinct(), "pairs")
+    links = same.unionByName(stage(confirmed(pairs, texts, k, similarity), "near-links"))
+    roots = stage(components(links), "roots")
+    rooted = stage(rows.select("key", "a").join(roots.select(F.col("node").alias("a"), "root"), "a", "left").select("key", F.coalesce("root", "a").alias("root")).distinct(), "roots-in-buckets")
+    still = stage(rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "open-keys")
+    some = rooted.join(still, "key")
+    related = stage(
+        some.select("key", F.col("root").alias("one")).join(some.select("key", F.col("root").alias("two")), "key").filter("one < two").select("one", "two").distinct(), "related"
+    )
+    members = stage(
+        texts.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        .join(related.select(F.explode(F.array("one", "two")).alias("root")).distinct(), "root"), "members")
+    return links.unionByName(stage(block_links(related, members, k, similarity), "block-links"))
+
+
+def near_duplicates(docs: DataFrame, k: int = K, similarity: int = SIMILARITY, side: int = SIDE, half: int = HALF) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs``."""
     signed = stage(signatures(docs, k, side, half), "signatures")
-    roots = stage(components(near_links(docs, signed, k, similarity, side, star_rounds)), "roots")
+    roots = stage(components(near_links(docs, signed, k, similarity, side)), "roots")
     return (
         signed.select("doc_id", "n_shingles").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))

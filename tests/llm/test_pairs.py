@@ -112,13 +112,25 @@ def test_minhash(documents, rng):
     sets = {d: shingles(t) for d, t in rows if d is not None}
     pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     root = smallest_reachable(sets, pairs)
-    for rounds in (1, 2):
-        got = op08_minhash.near_duplicates(documents(rows), star_rounds=rounds).collect()
-        assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == Counter(
-            (d, len(shingles(t)), root[d] if d is not None else None, d is None or root[d] == d) for d, t in rows)
+    got = op08_minhash.near_duplicates(documents(rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == Counter(
+        (d, len(shingles(t)), root[d] if d is not None else None, d is None or root[d] == d) for d, t in rows)
     assert op08_minhash.near_duplicates(documents([])).collect() == []
 
 
+def test_block_links(spark, rng):
+    """Related components in blocks of a few texts find what all pairs hold."""
+    rows = [(d % 3, d, t.encode()) for d, t in near_rows(rng) if d is not None and t]
+    members = spark.createDataFrame(rows, "root long, doc_id long, text binary")
+    related = spark.createDataFrame([(0, 1), (1, 2), (0, 2)], "one long, two long")
+    got = [(r.a, r.b) for r in op08_minhash.block_links(related, members, 4, 80, 2000).collect()]
+    sets = {(r, d): shingles(t.decode()) for r, d, t in rows}
+    pairs = {frozenset((x[1], y[1])) for x in sets for y in sets if x[0] != y[0] and sets[x] & sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
+    assert {frozenset(p) for p in got} <= pairs
+    merged = [smallest_reachable([0, 1, 2], [sorted(d % 3 for d in p) for p in some if len(p) == 2]) for some in (map(frozenset, got), pairs)]
+    assert pairs and merged[0] == merged[1]
+
+
 def test_minhash_hot_group(documents, rng):
     """Near copies of one text in ever new wording stay one group without all their pairs."""
     base = prose(rng, VOCABULARY, 60).split()
