@@ -91,7 +91,7 @@ def test_templates(spark, documents):
     rows = ODD + [
         (1, "Now hear: Yesterday Alice bought 7 apples for 3 dollars and then gave Alice 2 more of them. End."),
         (2, "Now hear: Yesterday Bob bought 1,200.5 apples for 3 dollars and then gave Carol 2 more of them. End."),
-        (3, "apples for 9 dollars and then something else altogether happens to all of these words"), (4, f"xx {item} yy"), (4, f"xx {item} yy"), (5, "short ONE here, and"),
+        (3, "apples for 9 dollars and then something else altogether happens to all of these words"), (4, f"xx {item} yy"), (4, f"xx {item} yy"), (5, "short one here, and"),
     ]
     got = {(r.doc_id, r.item_id): r for r in op03_templates.contamination(documents(rows), items).collect()}
     assert set(got) == {(1, 9), (2, 9), (4, 9), (5, 11)}
