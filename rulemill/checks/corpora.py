@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import fixed
 from ..functions.text import compute_once
 from ..schema import chunk_of
+from ..sources.lists import split_lines
 
 COLS = ["source", "priority", "source_ord", "lite", "chunk", "line_no", "line"]
 #: Small, so that order is carried over chunk borders even on test data.
@@ -23,25 +23,19 @@ CHUNK = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A driver table; one too small to fill all cores is spread by a key.
-
-    A file of one row group is read by one task. Tables that are large enough to
-    come in a split per core are left as they are read.
-    """
+    """A driver table; ``spread_by`` deals its rows out by a key, so that the
+    long steps behind it do not depend on how the file is cut."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    split = 128 * 1024 * 1024
-    if spread_by and df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < cores * split:
-        return df.repartition(cores, spread_by)
-    return df
+    return df.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else df
 
 
 def _finish(df: DataFrame) -> DataFrame:
+    numbered = df.withColumn("line_no", F.col("line_no").cast("bigint"))
+    if "chunk" not in df.columns:
+        numbered = numbered.withColumn("chunk", chunk_of(F.col("line_no"), CHUNK))
     return (
-        compute_once(df.withColumnRenamed("line", "_made"), line=F.col("_made"))
+        compute_once(numbered.withColumnRenamed("line", "_made"), line=F.col("_made"))
         .withColumn("lite", F.col("source_ord") % 3 == 0)
-        .withColumn("line_no", F.col("line_no").cast("bigint"))
-        .withColumn("chunk", chunk_of(F.col("line_no"), CHUNK))
         .withColumn("priority", F.col("priority").cast("int"))
         .withColumn("source_ord", F.col("source_ord").cast("int"))
         .select(*COLS)
@@ -134,14 +128,13 @@ def syntax_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines keep their document's number in the upper part of ``line_no``."""
+    """A document is a chunk of its source; ``line_no`` counts in it."""
     number = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
     return _finish(
         table(spark, sf_dir, "documents", "doc_id")
-        .select("source", number.alias("number"), "doc_id", F.posexplode(F.split("text", fixed.PAT_LINES)).alias("pos", "line"))
+        .select("source", number.alias("number"), F.col("doc_id").alias("chunk"), F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"))
         .select(
-            "source", (F.col("number") + 1).alias("priority"), (F.col("number") + 9).alias("source_ord"),
-            (F.col("doc_id") * 100000 + F.col("pos")).alias("line_no"), "line",
+            "source", (F.col("number") + 1).alias("priority"), (F.col("number") + 9).alias("source_ord"), "chunk", "line_no", "line",
         )
     )
 

@@ -97,24 +97,25 @@ N = len(SYNTAX_TEXT)
 
 RULE_LINES = f"""
 page_rules AS (
-  SELECT 'list' || (n % 5) AS source, n % 5 + 1 AS priority, n % 5 AS source_ord, n AS line_no,
+  SELECT 'list' || (n % 5) AS source, n % 5 + 1 AS priority, n % 5 AS source_ord, 0 AS chunk, n AS line_no,
          {case("(n // 5) % 10", PAGE_TEXT)} AS line FROM pg
   UNION ALL
-  SELECT DISTINCT 'list' || (n % 5), n % 5 + 1, n % 5, -1, '! Title: List Collection' FROM pg),
+  SELECT DISTINCT 'list' || (n % 5), n % 5 + 1, n % 5, 0, -1, '! Title: List Collection' FROM pg),
 syntax_rules AS (
   SELECT 'syntax' || ((n // {N}) % 4) AS source, (n // {N}) % 4 + 2 AS priority,
-         (n // {N}) % 4 + 5 AS source_ord, n AS line_no, {case(f"n % {N}", SYNTAX_TEXT)} AS line FROM pg),
+         (n // {N}) % 4 + 5 AS source_ord, 0 AS chunk, n AS line_no, {case(f"n % {N}", SYNTAX_TEXT)} AS line FROM pg),
 rule_lines AS (SELECT * FROM page_rules UNION ALL SELECT * FROM syntax_rules),
 document_parts AS (
-  SELECT source, doc_id, regexp_split_to_array(text, '{LINES_RE}') AS parts FROM documents),
+  SELECT source, doc_id, CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts
+  FROM (SELECT source, doc_id, regexp_split_to_array(text, '{LINES_RE}') AS parts FROM documents)),
 document_lines AS (
   SELECT source, CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) + 1 AS priority,
          CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) + 9 AS source_ord,
-         doc_id * 100000 + pos AS line_no, parts[pos + 1] AS line
+         doc_id AS chunk, pos AS line_no, parts[pos + 1] AS line
   FROM (SELECT *, unnest(range(len(parts))) AS pos FROM document_parts)),
 bulk_lines AS (
   SELECT 'bulk' || (l_linenumber % 4) AS source, l_linenumber % 4 + 1 AS priority,
-         l_linenumber % 4 + 40 AS source_ord, l_orderkey * 8 + l_linenumber AS line_no,
+         l_linenumber % 4 + 40 AS source_ord, 0 AS chunk, l_orderkey * 8 + l_linenumber AS line_no,
          '||' || (CASE WHEN l_partkey % 10 = 0 THEN '' ELSE 'p' || l_partkey || '.' END) || 's' || l_suppkey
          || (CASE WHEN l_suppkey % 3 = 0 THEN '.example.com^' ELSE '.example.net^' END) AS line
   FROM lineitem),
@@ -184,7 +185,7 @@ keyed0 AS (
   FROM cased),
 keyed1 AS (SELECT *, {first_contained('pat1', fixed.KEY_SEPARATORS)} AS ksep FROM keyed0),
 rules AS (
-  SELECT source, priority, source_ord, line_no, raw, rule_type, sep, opts, toks, valid, pattern, sites, match_case,
+  SELECT source, priority, source_ord, chunk, line_no, raw, rule_type, sep, opts, toks, valid, pattern, sites, match_case,
     CASE kind WHEN 'header' THEN ''
       WHEN 'hosts' THEN lower({strip("split_part(" + strip(f"regexp_extract(text, '{HOSTS_RE}', 1)") + ", ' #', 1)")})
       ELSE lower(coalesce(
@@ -221,38 +222,40 @@ last_options AS (
 # Merge
 
 MERGE = f"""
-exact AS (
+exact AS MATERIALIZED (
   SELECT * FROM rules
-  QUALIFY row_number() OVER (PARTITION BY section, normalized ORDER BY priority, source_ord, line_no) = 1),
-blocks AS (
+  QUALIFY row_number() OVER (PARTITION BY section, normalized ORDER BY priority, source_ord, chunk, line_no) = 1),
+blocks AS MATERIALIZED (
   SELECT * FROM (
-    SELECT normalized, domain, priority, source_ord, line_no, ltrim(normalized, '@') AS clean,
+    SELECT normalized, domain, priority, source_ord, chunk, line_no, ltrim(normalized, '@') AS clean,
            lower(regexp_extract(ltrim(normalized, '@'), '^\\|*({LABEL}(?:\\.{LABEL})+)', 1)) AS key_domain
     FROM exact WHERE section = 'block' AND domain <> '')
   WHERE key_domain <> ''),
 ups AS (
   SELECT *, array_to_string(string_split(domain, '.')[i + 1:], '.') AS up
   FROM (SELECT *, unnest(range(1, len(string_split(domain, '.')))) AS i FROM blocks)),
-pairs AS (
-  SELECT c.normalized AS child, p.normalized AS parent, c.i, p.priority, p.source_ord, p.line_no
+pairs AS MATERIALIZED (
+  SELECT c.normalized AS child, p.normalized AS parent, c.i, p.priority, p.source_ord, p.chunk, p.line_no
   FROM ups c JOIN blocks p ON p.domain = c.up
   WHERE p.normalized <> c.normalized AND (
     ends_with(c.key_domain, '.' || p.key_domain)
     OR (contains(p.clean, '||') AND contains(c.clean, '||') AND contains(substr(p.clean, 3), '^')
         AND starts_with(substr(c.clean, 3), {before("substr(p.clean, 3)", "'^'")} || '/')))),
 merged AS (
-  SELECT * FROM exact WHERE section <> 'block' OR normalized NOT IN (SELECT child FROM pairs)),
+  SELECT * FROM exact WHERE section <> 'block'
+  UNION ALL
+  SELECT e.* FROM exact e ANTI JOIN (SELECT DISTINCT child FROM pairs) p ON e.normalized = p.child WHERE e.section = 'block'),
 waiting AS (
-  SELECT source, line_no, text, min(CASE WHEN kind <> 'comment' THEN line_no END) OVER (
-    PARTITION BY source ORDER BY line_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS target, kind
+  SELECT source, chunk, line_no, text, min(CASE WHEN kind <> 'comment' THEN (chunk, line_no) END) OVER (
+    PARTITION BY source ORDER BY chunk, line_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS target, kind
   FROM kinds WHERE kind IN ('header', 'hosts', 'rule', 'comment')),
 comments AS (
-  SELECT source, target AS line_no, string_agg(text, chr(10) ORDER BY line_no) AS comments,
-         list(text ORDER BY line_no) AS comment_list
+  SELECT source, target[1] AS chunk, target[2] AS line_no, string_agg(text, chr(10) ORDER BY chunk, line_no) AS comments,
+         list(text ORDER BY chunk, line_no) AS comment_list
   FROM waiting WHERE kind = 'comment' AND target IS NOT NULL GROUP BY ALL),
 edition AS (
   SELECT m.*, coalesce(c.comments, '') AS comments, coalesce(c.comment_list, CAST([] AS VARCHAR[])) AS comment_list
-  FROM merged m LEFT JOIN comments c USING (source, line_no) WHERE length(m.raw) <= 4000)"""
+  FROM merged m LEFT JOIN comments c USING (source, chunk, line_no) WHERE length(m.raw) <= 4000)"""
 
 RANK = """CASE rule_type WHEN 'header' THEN 0 WHEN 'exception' THEN 1 WHEN 'block' THEN 2
   WHEN 'hide-exception' THEN 3 ELSE 4 END"""
@@ -261,24 +264,23 @@ RANK = """CASE rule_type WHEN 'header' THEN 0 WHEN 'exception' THEN 1 WHEN 'bloc
 
 DAYS = """
 users AS (SELECT DISTINCT 'user' || user_id AS source FROM events),
+runs AS (SELECT DISTINCT day(ts) AS run FROM events),
 seen AS (
-  SELECT day(ts) AS day, 'user' || user_id AS source, min(props) AS strong, min(event_type) AS weak,
+  SELECT day(ts) AS run, 'user' || user_id AS source, min(props) AS strong, min(event_type) AS weak,
          max(event_type) AS top, count(*) FILTER (value > 10) AS rule_count
   FROM events GROUP BY ALL),
-day1 AS (SELECT u.source, s.* EXCLUDE (source), CASE WHEN weak = 'click' THEN '' ELSE strong END AS token
-         FROM users u LEFT JOIN seen s ON s.source = u.source AND s.day = 1),
-day2 AS (SELECT u.source, s.* EXCLUDE (source), CASE WHEN weak = 'click' THEN '' ELSE strong END AS token,
-                CASE WHEN top = 'view' THEN '' ELSE top END AS content,
-                CASE WHEN strong IS NULL THEN 'no answer' END AS error
-         FROM users u LEFT JOIN seen s ON s.source = u.source AND s.day = 2),
-state AS (SELECT source, token FROM day1 WHERE token <> ''),
-results AS (
-  SELECT d.* EXCLUDE (token), coalesce(nullif(d.token, ''), sha256(content)) AS raw_token,
-         CASE WHEN error IS NULL THEN coalesce(nullif(d.token, ''), sha256(content)) END AS token, s.token AS old
-  FROM day2 d LEFT JOIN state s USING (source)),
-detected AS (SELECT *, error IS NULL AND token IS DISTINCT FROM old AS changed FROM results),
+days AS (
+  SELECT r.run, u.source, s.* EXCLUDE (run, source), CASE WHEN weak = 'click' THEN '' ELSE strong END AS token,
+         CASE WHEN top = 'view' THEN '' ELSE top END AS content, CASE WHEN strong IS NULL THEN 'no answer' END AS error
+  FROM users u CROSS JOIN runs r LEFT JOIN seen s USING (run, source)),
+now AS (SELECT * FROM days WHERE run > (SELECT min(run) FROM runs)),
+state AS (SELECT run + 1 AS run, source, token FROM days WHERE token <> '' AND run < (SELECT max(run) FROM runs)),
+detected AS (
+  SELECT *, error IS NULL AND token IS DISTINCT FROM old AS changed FROM (
+    SELECT d.* EXCLUDE (token), CASE WHEN error IS NULL THEN coalesce(nullif(d.token, ''), sha256(content)) END AS token, s.token AS old
+    FROM now d LEFT JOIN state s USING (run, source))),
 statuses AS (
-  SELECT source,
+  SELECT run, source,
     CASE WHEN error IS NOT NULL OR content = '' THEN 0 ELSE coalesce(rule_count, 0) END AS rule_count,
     CASE WHEN error IS NOT NULL THEN 'error' WHEN content = '' AND changed THEN 'empty'
          WHEN changed THEN 'updated' ELSE 'unchanged' END AS status
@@ -342,25 +344,26 @@ ORACLES: dict[str, str] = {
     "list_lines": f"""
         SELECT source, parts[pos + 1] AS line, pos AS line_no, pos // 64 AS chunk
         FROM (SELECT *, unnest(range(len(parts))) AS pos
-              FROM (SELECT 'doc' || doc_id AS source, regexp_split_to_array(text, '{LINES_RE}') AS parts FROM documents))""",
+              FROM (SELECT source, CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts
+                    FROM (SELECT 'doc' || doc_id AS source, regexp_split_to_array(text, '{LINES_RE}') AS parts FROM documents)))""",
     "raw_rule_counts": _all(
         "SELECT source, count(*) FILTER (text <> '' AND NOT starts_with(text, '!') AND NOT starts_with(text, '['))"
         " AS rule_count FROM kinds GROUP BY source"
     ),
-    "changed_sources": _with(DAYS, select="SELECT source, token, changed FROM detected"),
+    "changed_sources": _with(DAYS, select="SELECT run, source, token, changed FROM detected"),
     "token_coalesce": _with(
         DAYS,
-        select="""SELECT d.source, coalesce(nullif(CASE WHEN weak = 'click' THEN '' ELSE strong END, ''),
-            nullif(weak, ''), nullif(s.token, '')) AS token FROM day2 d LEFT JOIN state s USING (source)""",
+        select="""SELECT d.run, d.source, coalesce(nullif(CASE WHEN weak = 'click' THEN '' ELSE strong END, ''),
+            nullif(weak, ''), nullif(s.token, '')) AS token FROM now d LEFT JOIN state s USING (run, source)""",
     ),
     "state_upsert": _with(
         DAYS,
-        select="""SELECT * FROM (SELECT coalesce(s.source, d.source) AS source,
+        select="""SELECT * FROM (SELECT coalesce(s.run, d.run) AS run, coalesce(s.source, d.source) AS source,
               coalesce(CASE WHEN d.error IS NULL THEN nullif(d.token, '') END, s.token) AS token
-            FROM state s FULL JOIN day2 d ON s.source = d.source) WHERE token IS NOT NULL""",
+            FROM state s FULL JOIN now d ON s.source = d.source AND s.run = d.run) WHERE token IS NOT NULL""",
     ),
     "source_status": _with(DAYS, select="SELECT * FROM statuses"),
-    "changed_count": _with(DAYS, select="SELECT count(*) FILTER (changed) AS changed FROM detected"),
+    "changed_count": _with(DAYS, select="SELECT run, count(*) FILTER (changed) AS changed FROM detected GROUP BY run"),
     "usable_sources": """
         SELECT source, run_id, top AS content FROM (
           SELECT 'user' || user_id AS source, strftime(ts, '%Y-%m-%d') AS run_id,
@@ -399,7 +402,7 @@ ORACLES: dict[str, str] = {
     "rule_domain": _all("SELECT source, domain, count(*) AS rules FROM rules GROUP BY ALL"),
     "rule_comments": _rules(
         """SELECT r.source, r.line_no, r.raw, coalesce(c.comments, '') AS comments
-           FROM rules r LEFT JOIN comments c USING (source, line_no)"""
+           FROM rules r LEFT JOIN comments c USING (source, chunk, line_no)"""
     ),
     "parse_key": _rules("SELECT source, line_no, raw, parsed_key FROM rules"),
     "normalized": _all("SELECT source, normalized, count(*) AS rules FROM rules GROUP BY ALL"),
@@ -438,7 +441,7 @@ ORACLES: dict[str, str] = {
     ),
     "broader_pairs": _all(
         """SELECT child, parent FROM pairs
-           QUALIFY row_number() OVER (PARTITION BY child ORDER BY i, priority, source_ord, line_no, parent) = 1"""
+           QUALIFY row_number() OVER (PARTITION BY child ORDER BY i, priority, source_ord, chunk, line_no, parent) = 1"""
     ),
     "subsumed_count": _all("SELECT count(DISTINCT child) AS removed FROM pairs"),
     "edition_order": _rules(
@@ -537,19 +540,19 @@ ORACLES: dict[str, str] = {
         "\nSELECT * FROM (\n             SELECT *, 'added'",
         """, prev AS (
           SELECT section, normalized, raw FROM rules WHERE line_no % 10 <> 3
-          QUALIFY row_number() OVER (PARTITION BY section, normalized ORDER BY priority, source_ord, line_no) = 1),
+          QUALIFY row_number() OVER (PARTITION BY section, normalized ORDER BY priority, source_ord, chunk, line_no) = 1),
         cur AS (
           SELECT section, normalized, raw FROM rules WHERE line_no % 10 <> 7
-          QUALIFY row_number() OVER (PARTITION BY section, normalized ORDER BY priority, source_ord, line_no) = 1)
+          QUALIFY row_number() OVER (PARTITION BY section, normalized ORDER BY priority, source_ord, chunk, line_no) = 1)
         SELECT * FROM (\n             SELECT *, 'added'""",
     ),
     "run_log": _with(
         DAYS,
-        select="""SELECT s.source, coalesce(n.rules, 0) AS rules,
+        select="""SELECT s.run, s.source, coalesce(n.rules, 0) AS rules,
              CASE WHEN status = 'updated' THEN '+' ELSE '=' END AS mark
            FROM statuses s LEFT JOIN (
-             SELECT 'user' || user_id AS source, count(*) AS rules FROM events
-             WHERE event_type = 'click' AND day(ts) = 2 GROUP BY user_id) n USING (source) ORDER BY s.source""",
+             SELECT day(ts) AS run, 'user' || user_id AS source, count(*) AS rules FROM events
+             WHERE event_type = 'click' GROUP BY ALL) n USING (run, source) ORDER BY s.run, s.source""",
     ),
     "history_retention": _with(
         HISTORY,

@@ -85,22 +85,24 @@ def raw_rule_counts(spark, d):
 
 
 # Incremental refresh: users are sources, a day is a run, no event is a failure.
+# Every day is compared with the day before it.
 
+RUN = ("run", "source")
 
-def _day(spark, d, day: int) -> DataFrame:
+
+def _days(spark, d) -> DataFrame:
     events = c.table(spark, d, "events")
-    users = events.select(F.concat(F.lit("user"), "user_id").alias("source")).distinct()
-    seen = (
-        events.filter(F.dayofmonth("ts") == day)
-        .groupBy(F.concat(F.lit("user"), "user_id").alias("source"))
-        .agg(
-            F.min("props").alias("strong"), F.min("event_type").alias("weak"),
-            F.max("event_type").alias("content"), F.count_if(F.col("value") > 10).alias("rule_count"),
-        )
+    run = F.dayofmonth("ts").alias("run")
+    source = F.concat(F.lit("user"), "user_id").alias("source")
+    seen = events.groupBy(run, source).agg(
+        F.min("props").alias("strong"), F.min("event_type").alias("weak"),
+        F.max("event_type").alias("content"), F.count_if(F.col("value") > 10).alias("rule_count"),
     )
+    days = [F.lit(row.run) for row in events.select(run).distinct().collect()]  # 31 at most
+    asked = events.select(source).distinct().select("source", F.explode(F.array(*days)).alias("run"))
     ok = F.col("strong").isNotNull()
-    return users.join(seen, "source", "left").select(
-        "source",
+    return asked.join(seen, list(RUN), "left").select(
+        *RUN,
         F.when(F.col("weak") == "click", "").otherwise(F.col("strong")).alias("strong"), "weak",
         F.when(F.col("weak") == "click", "").otherwise(F.col("strong")).alias("token"),
         F.when(F.col("content") == "view", "").otherwise(F.col("content")).alias("content"),
@@ -109,42 +111,55 @@ def _day(spark, d, day: int) -> DataFrame:
     )
 
 
+def _first_and_last(spark, d):
+    return c.table(spark, d, "events").agg(F.min(F.dayofmonth("ts")).alias("first"), F.max(F.dayofmonth("ts")).alias("last")).first()
+
+
+def _now(spark, d):
+    return _days(spark, d).filter(F.col("run") > _first_and_last(spark, d).first)
+
+
 def _old_state(spark, d):
-    return _day(spark, d, 1).filter("error is null and token <> ''").select("source", "token")
+    """Tokens of each day, filed under the day after."""
+    before = _days(spark, d).filter("error is null and token <> ''").filter(F.col("run") < _first_and_last(spark, d).last)
+    return before.select((F.col("run") + 1).alias("run"), "source", "token")
 
 
 def _results(spark, d):
-    return refresh.detect_changes(_day(spark, d, 2), _old_state(spark, d))
+    return refresh.detect_changes(_now(spark, d), _old_state(spark, d), RUN)
 
 
 @query
 def changed_sources(spark, d):
-    return _results(spark, d).select("source", "token", "changed")
+    return _results(spark, d).select(*RUN, "token", "changed")
 
 
 @query
 def token_coalesce(spark, d):
     old = _old_state(spark, d).withColumnRenamed("token", "previous")
-    return _day(spark, d, 2).join(old, "source", "left").select(
-        "source",
+    return _now(spark, d).join(old, list(RUN), "left").select(
+        *RUN,
         refresh.choose_token(F.col("strong"), F.col("weak"), F.col("previous")).alias("token"),
     )
 
 
 @query
 def state_upsert(spark, d):
-    return refresh.upsert_state(_old_state(spark, d), _day(spark, d, 2))
+    return refresh.upsert_state(_old_state(spark, d), _now(spark, d), RUN)
+
+
+def _statuses(spark, d):
+    return refresh.source_status(_results(spark, d).drop("rule_count"), _now(spark, d).select(*RUN, "rule_count"), RUN)
 
 
 @query
 def source_status(spark, d):
-    parsed = _day(spark, d, 2).select("source", "rule_count")
-    return refresh.source_status(_results(spark, d).drop("rule_count"), parsed)
+    return _statuses(spark, d)
 
 
 @query
 def changed_count(spark, d):
-    return refresh.changed_count(_results(spark, d))
+    return refresh.changed_count(_results(spark, d), ("run",))
 
 
 @query
@@ -343,7 +358,7 @@ def dup_counts(spark, d):
 
 @query
 def subset_dedup(spark, d):
-    kept = subsume.dedup_subsumed(dedup.dedup_exact(_all_rules(spark, d)))
+    kept = subsume.dedup_subsumed(dedup.dedup_exact(_all_rules(spark, d)), ["section", "normalized", "raw", "source", "priority"])
     return kept.filter("section = 'block'").select("normalized", "raw", "source", "priority")
 
 
@@ -354,7 +369,7 @@ def broader_pairs(spark, d):
 
 @query
 def subsumed_count(spark, d):
-    return subsume.covered_rules(dedup.dedup_exact(_all_rules(spark, d))).agg(_count("removed"))
+    return subsume.covered_rules(dedup.dedup_exact(_all_rules(spark, d)), ["section"]).agg(_count("removed"))
 
 
 @query
@@ -392,12 +407,12 @@ def edition_full(spark, d):
 
 @query
 def edition_stats(spark, d):
-    return stats.edition_stats(editions.merge_rules(_all_rules(spark, d)))
+    return stats.edition_stats(editions.merge_rules(_all_rules(spark, d), columns=editions.COUNT_COLS))
 
 
 @query
 def by_source(spark, d):
-    return stats.edition_source_counts(editions.merge_rules(_all_rules(spark, d)))
+    return stats.edition_source_counts(editions.merge_rules(_all_rules(spark, d), columns=editions.COUNT_COLS))
 
 
 @query
@@ -455,7 +470,7 @@ def file_stats(spark, d):
 def edition_text(spark, d):
     lines = c.all_lines(spark, d)
     rules = parse.type_rules(lines)
-    edition = stage(editions.build_edition(lines), "edition")
+    edition = stage(editions.edition_rules(lines), "edition")
     summary = rules.groupBy("source", "priority", "source_ord").agg(_count("rule_count"))
     text = editions.edition_text(edition, summary, AT)
     return text.select("part", "priority", "source_ord", "line_no", "sub", "text")
@@ -484,11 +499,10 @@ def edition_diff(spark, d):
 
 @query
 def run_log(spark, d):
-    summary = refresh.source_status(_results(spark, d).drop("rule_count"), _day(spark, d, 2).select("source", "rule_count"))
-    counts = c.table(spark, d, "events").filter("event_type = 'click' and dayofmonth(ts) = 2").groupBy(
-        F.concat(F.lit("user"), "user_id").alias("source")
+    counts = c.table(spark, d, "events").filter("event_type = 'click'").groupBy(
+        F.dayofmonth("ts").alias("run"), F.concat(F.lit("user"), "user_id").alias("source")
     ).agg(_count("rules"))
-    return history.run_log(summary, counts)
+    return history.run_log(_statuses(spark, d), counts, RUN)
 
 
 @query

@@ -37,16 +37,16 @@ def edition_diff(previous: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def run_log(summary: DataFrame, counts: DataFrame) -> DataFrame:
+def run_log(summary: DataFrame, counts: DataFrame, key: tuple[str, ...] = ("source",)) -> DataFrame:
     """Sources by name with surviving rules and ``+`` (updated) or ``=``."""
     return (
-        summary.join(counts, "source", "left")
+        summary.join(counts, list(key), "left")
         .select(
-            "source",
+            *key,
             F.coalesce("rules", F.lit(0)).cast("bigint").alias("rules"),
             F.when(F.col("status") == "updated", "+").otherwise("=").alias("mark"),
         )
-        .orderBy("source")
+        .orderBy(*key)
     )
 
 
@@ -54,7 +54,8 @@ def retain(history: DataFrame, now: datetime, days: int = 90) -> DataFrame:
     """Runs newer than ``now`` minus ``days``, newest first.
 
     ``run_ts`` may be text: ISO with an offset, ``Z`` or `` CST`` (+08:00). Rows
-    without a date go, rows with an unreadable one stay.
+    without a date go, rows with an unreadable one stay. For a ``timestamp``
+    column ``now`` has to carry its time zone; for one without zone it has none.
     """
     stamp = F.col("run_ts")
     if dict(history.dtypes)["run_ts"] == "string":
@@ -63,6 +64,8 @@ def retain(history: DataFrame, now: datetime, days: int = 90) -> DataFrame:
         zone = "timestamp"
     else:
         parsed, zone = stamp, dict(history.dtypes)["run_ts"]
+    if zone == "timestamp" and now.tzinfo is None:
+        raise ValueError("now needs a time zone to be compared with points in time")
     limit = F.lit(now.isoformat(sep=" ")).cast(zone) - F.make_dt_interval(days=F.lit(days))
     return (
         history.withColumn("_at", parsed)

@@ -2,24 +2,31 @@
 
 ``results``   source, token (from the fetch, may be empty), content, error
 ``state``     source, token
+
+``key`` names the columns that identify a result; with a run in it, many runs
+are compared at once, each with the state filed under its own key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.lists import run_order
+
+SOURCE = ("source",)
+
 
 def choose_token(strong: Column, weak: Column, previous: Column) -> Column:
     """First of the tokens that is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(t, F.lit("")) for t in (strong, weak, previous)])
 
 
-def detect_changes(results: DataFrame, state: DataFrame) -> DataFrame:
+def detect_changes(results: DataFrame, state: DataFrame, key: tuple[str, ...] = SOURCE) -> DataFrame:
     """Adds ``changed``; a missing token is replaced by the hash of the content.
 
     Failed results are never changed. A source seen for the first time is.
     """
-    old = state.select("source", F.col("token").alias("old_token"))
+    old = state.select(*key, F.col("token").alias("old_token"))
     fresh = results.withColumn(
         "token",
         F.when(
@@ -30,7 +37,7 @@ def detect_changes(results: DataFrame, state: DataFrame) -> DataFrame:
         ),
     )
     return (
-        fresh.join(old, "source", "left")
+        fresh.join(old, list(key), "left")
         .withColumn(
             "changed", F.col("error").isNull() & ~F.col("token").eqNullSafe(F.col("old_token"))
         )
@@ -38,14 +45,14 @@ def detect_changes(results: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
-def upsert_state(state: DataFrame, results: DataFrame) -> DataFrame:
+def upsert_state(state: DataFrame, results: DataFrame, key: tuple[str, ...] = SOURCE) -> DataFrame:
     """Successful results with a token replace it; all other tokens stay."""
     new = results.select(
-        "source", F.when(F.col("error").isNull(), F.nullif("token", F.lit(""))).alias("new_token")
+        *key, F.when(F.col("error").isNull(), F.nullif("token", F.lit(""))).alias("new_token")
     )
     return (
-        state.select("source", "token").join(new, "source", "full_outer")
-        .select("source", F.coalesce("new_token", "token").alias("token"))
+        state.select(*key, "token").join(new, list(key), "full_outer")
+        .select(*key, F.coalesce("new_token", "token").alias("token"))
         .filter(F.col("token").isNotNull())
     )
 
@@ -59,20 +66,19 @@ def last_good(snapshots: DataFrame, carry_forward: bool = True) -> DataFrame:
     """Newest usable snapshot of each source.
 
     Without ``carry_forward`` a source whose newest snapshot is not usable is
-    left out, so its rules vanish from the editions until it changes again.
+    left out, so its rules vanish from the editions until it changes again. The
+    run is chosen without contents; those are looked up for the chosen ones.
     """
-    row = F.struct("content", "error", "token", "run_id")
-    if not carry_forward:
-        newest = snapshots.groupBy("source").agg(F.max_by(row, "run_id").alias("s"))
-        return usable(newest.select("source", "s.*"))
-    good = usable(snapshots)
-    return good.groupBy("source").agg(F.max_by(row, "run_id").alias("s")).select("source", "s.*")
+    order = run_order(F.col("run_id"))
+    candidates = usable(snapshots) if carry_forward else snapshots
+    newest = candidates.groupBy("source").agg(F.max(order).alias("_run")).select("source", F.col("_run.name").alias("run_id"))
+    return usable(snapshots.select("source", "content", "error", "token", "run_id").join(newest, ["source", "run_id"], "left_semi"))
 
 
-def source_status(results: DataFrame, parsed: DataFrame) -> DataFrame:
+def source_status(results: DataFrame, parsed: DataFrame, key: tuple[str, ...] = SOURCE) -> DataFrame:
     """Rule count and status of every result.
 
-    ``parsed`` holds (source, rule_count) of what was parsed; a failed or empty
+    ``parsed`` holds (key, rule_count) of what was parsed; a failed or empty
     result counts 0 whatever it says.
     """
     empty = F.coalesce(F.length("content"), F.lit(0)) == 0
@@ -84,15 +90,15 @@ def source_status(results: DataFrame, parsed: DataFrame) -> DataFrame:
         .otherwise("unchanged")
     )
     kept = [c for c in ("priority",) if c in results.columns]
-    return results.join(parsed, "source", "left").select(
-        "source", *kept,
+    return results.join(parsed, list(key), "left").select(
+        *key, *kept,
         F.when(failed | empty, 0).otherwise(F.coalesce("rule_count", F.lit(0)))
         .cast("bigint").alias("rule_count"),
         status.alias("status"),
     )
 
 
-def changed_count(results: DataFrame) -> DataFrame:
+def changed_count(results: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Number of sources that changed without error; 0 means nothing to publish."""
     changed = F.col("changed") & F.col("error").isNull()
-    return results.agg(F.count_if(changed).cast("bigint").alias("changed"))
+    return results.groupBy(*by).agg(F.count_if(changed).cast("bigint").alias("changed"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
 from ..operators.dedup import dedup_exact
@@ -18,14 +18,23 @@ MAX_RULE_LENGTH = 4000
 TEXT_ORDER = ["part", *ORDER_KEY, "sub"]
 
 
-def merge_rules(rules: DataFrame, max_rule_length: int = MAX_RULE_LENGTH) -> DataFrame:
+#: What an edition needs of a rule, and what counts over one need.
+EDITION_COLS = [*ORDER_KEY, "source", "raw", "rule_type", "section", "normalized", "domain"]
+COUNT_COLS = ["source", "section"]
+
+
+def merge_rules(
+    rules: DataFrame, max_rule_length: int = MAX_RULE_LENGTH, columns: list[str] = EDITION_COLS
+) -> DataFrame:
     """Exact dedup, subsumption dedup, then the length limit.
 
     The limit comes last: a rule that is too long still wins over its duplicates
-    and still covers others before it goes.
+    and still covers others before it goes. Only ``columns`` are kept; of the
+    text just its length is needed.
     """
-    merged = dedup_subsumed(dedup_exact(rules))
-    return merged.filter(F.length("raw") <= max_rule_length)
+    exact = dedup_exact(rules.withColumn("raw_length", F.length("raw")))
+    merged = dedup_subsumed(exact, [*columns, "raw_length"])
+    return merged.filter(F.col("raw_length") <= max_rule_length).select(*columns)
 
 
 def order_edition(rules: DataFrame) -> DataFrame:
@@ -35,18 +44,25 @@ def order_edition(rules: DataFrame) -> DataFrame:
     )
 
 
-def build_edition(
+def edition_rules(
     lines: DataFrame, lite: bool = False, max_rule_length: int = MAX_RULE_LENGTH
 ) -> DataFrame:
-    """Edition of all sources, or of the lite ones, as ordered rules with comments.
+    """Rules of an edition with comments and rank, in no order.
 
     The lite edition is a merge of its own: filtering the full one would miss
     rules that a source outside the lite set had removed.
     """
     if lite:
         lines = lines.filter("lite")
-    merged = merge_rules(parse_rules(lines), max_rule_length)
-    return order_edition(attach_comments(merged, lines))
+    merged = attach_comments(merge_rules(parse_rules(lines), max_rule_length), lines)
+    return merged.withColumn("section_rank", section_rank(F.col("rule_type")))
+
+
+def build_edition(
+    lines: DataFrame, lite: bool = False, max_rule_length: int = MAX_RULE_LENGTH
+) -> DataFrame:
+    """Edition of all sources, or of the lite ones, as ordered rules with comments."""
+    return edition_rules(lines, lite, max_rule_length).orderBy("section_rank", *ORDER_KEY)
 
 
 def stamp_text(at: datetime) -> str:
@@ -136,12 +152,24 @@ def _mark(part: int, text: str) -> Column:
     return F.struct(F.lit(part).alias("part"), F.lit(text).alias("text"))
 
 
-def publish(edition: DataFrame, text: DataFrame, path: str) -> bool:
-    """Write the text of an edition; an empty edition leaves the old output alone.
+def publish(edition: DataFrame, text: DataFrame, path: str, version: str) -> bool:
+    """Write the text of an edition as a new version; an empty edition writes nothing.
 
-    Part files are range-sorted: read in name order they are the edition.
+    A version is a folder of ``path`` and counts once Spark's success marker is
+    in it, so readers (``published_version``) see the old one until the last
+    moment, and a failed write changes nothing. Part files are range-sorted:
+    read in name order they are the edition.
     """
     if edition.isEmpty():
         return False
-    text.select("text").write.mode("overwrite").text(path)
+    text.select("text").write.mode("overwrite").text(f"{path}/{version}")
     return True
+
+
+def published_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest complete version: the last by name."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "*/_SUCCESS")) if files.exists(root) else []
+    return max((str(f.getPath().getParent().toString()) for f in done), default=None)

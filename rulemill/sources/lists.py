@@ -1,7 +1,12 @@
 """Reading landed list snapshots and cutting them into lines.
 
 Landing layout: ``<path>/run_id=<id>/source=<name>/<file>``, one text file per
-source and run. Both directory keys become columns, so reads prune by them.
+source and run. Which file counts is decided from names, times and sizes alone;
+contents are then read by one reader, in splits, whatever the size of a file.
+
+A line's place is (``chunk``, ``line_no``): the byte offset of its split in the
+file, and a number that rises within the split. The numbers come from the read,
+so the table of lines is written once and every step reads that.
 """
 
 from __future__ import annotations
@@ -13,9 +18,6 @@ from ..functions.text import strip
 from ..schema import CHUNK_LINES, SOURCE_COLS, chunk_of
 from ..staging import stage
 
-#: Files above this size are read in splits instead of as one value.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
 SNAPSHOT_FILES = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("modificationTime", T.TimestampType()),
@@ -24,6 +26,13 @@ SNAPSHOT_FILES = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("source", T.StringType()),
 ])
+#: What is known of a landed file without opening it.
+FILE_COLS = ["path", "run_id", "source", "modificationTime", "length"]
+_TEXT = T.StructType([
+    T.StructField("value", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("source", T.StringType()),
+])
 
 
 def decode(content: Column) -> Column:
@@ -31,63 +40,85 @@ def decode(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
+def run_order(run_id: Column) -> Column:
+    """Order of runs: numbers by value and before other names, those by text."""
+    number = run_id.try_cast("decimal(38,0)")
+    return F.struct(number.isNull().alias("named"), number.alias("number"), run_id.alias("name"))
+
+
 def with_source(snapshots: DataFrame, sources: DataFrame) -> DataFrame:
-    """Add priority, order and lite flag of each row's source; unknown sources go."""
-    known = sources.select(
-        F.col("name").alias("source"), "priority", "source_ord",
-        F.coalesce("lite", F.lit(False)).alias("lite"),
+    """Add priority, order and lite flag of each row's source; unknown and disabled ones go."""
+    known = sources.filter(F.coalesce("enabled", F.lit(True))) if "enabled" in sources.columns else sources
+    return snapshots.join(
+        known.select(
+            F.col("name").alias("source"), "priority", "source_ord",
+            F.coalesce("lite", F.lit(False)).alias("lite"),
+        ),
+        "source",
     )
-    return snapshots.join(known, "source")
 
 
-def read_lists(spark: SparkSession, path: str, sources: DataFrame) -> DataFrame:
-    """Snapshots with their whole text, one row per file."""
-    files = spark.read.format("binaryFile").schema(SNAPSHOT_FILES).load(path)
-    return with_source(files, sources).withColumn("text", decode(F.col("content")))
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Landed files by name, run, source, time and size; contents are not opened."""
+    return (
+        spark.read.format("binaryFile").schema(SNAPSHOT_FILES).load(path)
+        .select(F.col("_metadata.file_path").alias("path"), *FILE_COLS[1:])
+    )
+
+
+def newest_files(files: DataFrame) -> DataFrame:
+    """The newest file with content of each source: by run, then time, then name."""
+    order = F.struct(run_order(F.col("run_id")).alias("run"), "modificationTime", "path")
+    row = F.struct(*[c for c in files.columns if c != "source"])
+    return (
+        files.filter(F.col("length") > 0).groupBy("source")
+        .agg(F.max_by(row, order).alias("n")).select("source", "n.*")
+    )
 
 
-def read_lines(
-    spark: SparkSession,
-    path: str,
-    sources: DataFrame,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """Numbered lines of all snapshots, whatever the size of a file.
+def file_lines(spark: SparkSession, path: str, chosen: DataFrame) -> DataFrame:
+    """Lines of the chosen (path) files: run_id, source, chunk, line_no, line.
 
-    Small files are read whole. A larger one is read in splits by many tasks;
-    there the chunk is the offset of the split and ``line_no`` counts up within
-    it, so (chunk, line_no) is still the order of the file. The split reader
-    drops a byte-order mark at the start of a file, the whole-file reader keeps
-    it.
+    A byte-order mark at the start of a file is no part of its first line. A
+    line of the reader can still hold separators other than CR and LF, so it is
+    cut again before numbering.
     """
-    small = (
-        spark.read.format("binaryFile").schema(SNAPSHOT_FILES).load(path)
-        .filter(F.col("length") <= whole_file_bytes)
-        .withColumn("text", decode(F.col("content")))
+    return (
+        spark.read.schema(_TEXT).text(path)
+        .select("value", "run_id", "source", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("chunk"))
+        .join(chosen.select("path"), "path", "left_semi")
+        .select("run_id", "source", "chunk", F.explode(F.split(F.make_valid_utf8("value"), fixed.PAT_LINES)).alias("line"))
     )
-    schema = T.StructType([
-        T.StructField("value", T.StringType()),
-        T.StructField("run_id", T.StringType()),
-        T.StructField("source", T.StringType()),
-    ])
-    # A line can still hold separators other than CR and LF, so it is cut again
-    # before numbering. Staging fixes the numbers for every later reader.
-    large = stage(
-        spark.read.schema(schema).text(path)
-        .filter(F.col("_metadata.file_size") > whole_file_bytes)
-        .select(
-            "run_id", "source",
-            F.col("_metadata.file_block_start").alias("chunk"),
-            F.explode(F.split(F.make_valid_utf8("value"), fixed.PAT_LINES)).alias("line"),
-        )
-        .withColumn("line_no", F.monotonically_increasing_id()),
-        "lines",
+
+
+def read_lists(spark: SparkSession, path: str, sources: DataFrame) -> DataFrame:
+    """Newest snapshots with their whole text, one row per source."""
+    newest = newest_files(list_files(spark, path))
+    files = (
+        spark.read.format("binaryFile").schema(SNAPSHOT_FILES).load(path)
+        .select("content", F.col("_metadata.file_path").alias("path"))
+        .join(newest, "path")
     )
+    return with_source(files, sources).withColumn("text", decode(F.col("content")))
+
+
+def read_lines(spark: SparkSession, path: str, sources: DataFrame) -> DataFrame:
+    """Numbered lines of each enabled source's newest snapshot."""
+    chosen = with_source(newest_files(list_files(spark, path)), sources)
+    lines = numbered(file_lines(spark, path, chosen))
     keep = ["run_id", *SOURCE_COLS, "lite", "chunk", "line_no", "line"]
-    return (
-        list_lines(with_source(small, sources)).select(*keep)
-        .unionByName(with_source(large, sources).select(*keep))
-    )
+    return with_source(stage(lines, "lines"), sources).select(*keep)
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """``line_no`` rising within a split; to be written before it is used."""
+    return lines.withColumn("line_no", F.monotonically_increasing_id())
+
+
+def split_lines(text: Column) -> Column:
+    """Lines of a text; a separator at its end starts no further line."""
+    parts = F.split(text, fixed.PAT_LINES)
+    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
 
 
 def list_lines(snapshots: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
@@ -95,7 +126,7 @@ def list_lines(snapshots: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFram
     carried = [c for c in snapshots.columns if c not in ("text", "content")]
     return (
         snapshots
-        .select(*carried, F.posexplode(F.split("text", fixed.PAT_LINES)).alias("pos", "line"))
+        .select(*carried, F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
         .withColumn("line_no", F.col("pos").cast("bigint"))
         .withColumn("chunk", chunk_of(F.col("line_no"), chunk_lines))
         .drop("pos")

@@ -1,4 +1,18 @@
-"""Scheduled refresh over newly landed list files."""
+"""Scheduled refresh over newly landed list files.
+
+The stream carries names, times and sizes of files only. A batch chooses the
+newest file with content of each source and reads just those, in splits. Tables
+below ``root``, each with a folder per batch:
+
+``results``  source, path, run_id, token, error, changed of the files looked at
+``state``    source, token, run_id: what a source's lines are from
+``lines``    lines of the sources that changed, by source and batch
+``status``   source, rule_count, status of every enabled source
+``history``  edition, run_ts, total_rules, added, removed
+
+Every write is an overwrite that depends only on the batch and on tables of
+earlier batches, so a batch can be run again after a failure.
+"""
 
 from __future__ import annotations
 
@@ -7,77 +21,130 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.history import run_deltas
 from ..operators.parse import attach_comments, parse_rules
-from ..operators.refresh import detect_changes, upsert_state, usable
-from ..operators.stats import parsed_counts
+from ..operators.refresh import changed_count, detect_changes, source_status, upsert_state
+from ..operators.stats import edition_stats, parsed_counts
 from ..plans.editions import edition_text, merge_rules, publish
 from ..schema import section_rank
-from ..sources.lists import SNAPSHOT_FILES, decode, list_lines, with_source
-from ..staging import stage
+from ..sources.lists import FILE_COLS, SNAPSHOT_FILES, file_lines, newest_files, numbered, run_order, with_source
+from ..sources.registry import active_sources
+from ..staging import drop_staged, stage, staged_mark
 
-_STATE = "source string, token string"
-_RESULTS = "source string, path string, token string, error string, changed boolean"
+_STATE = "source string, token string, run_id string"
+_RESULTS = "source string, path string, run_id string, token string, content string, error string, changed boolean"
+_LINES = "run_id string, chunk bigint, line_no bigint, line string, batch bigint, source string"
+_HISTORY = "edition string, run_ts timestamp, total_rules bigint, batch bigint"
+EDITIONS = ("lite", "full")
+
+
+def _before(spark: SparkSession, schema: str, table: str, batch: int) -> DataFrame:
+    """Rows of the batches before ``batch``; empty at the start."""
+    if batch == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(table).filter(F.col("batch") < batch)
 
 
 def _state(spark: SparkSession, root: str, batch: int) -> DataFrame:
-    """State left by the batch before ``batch``; empty at the start."""
     if batch == 0:
         return spark.createDataFrame([], _STATE)
     return spark.read.schema(_STATE).parquet(f"{root}/state/batch={batch - 1}")
 
 
-def apply_batch(files: DataFrame, batch: int, sources: DataFrame, root: str, out: str) -> bool:
+def _landed(spark: SparkSession, files: DataFrame, in_dir: str, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Newest landed file of each source, if newer than what its lines are from, and its lines.
+
+    The token is a sum of hashes of the file's lines at their places, so files
+    are read in splits and never as one value.
+    """
+    known = state.select("source", F.col("run_id").alias("known_run"))
+    chosen = stage(
+        newest_files(files).join(known, "source", "left")
+        .filter(F.col("known_run").isNull() | (run_order(F.col("run_id")) > run_order(F.col("known_run")))),
+        "chosen",
+    )
+    lines = stage(numbered(file_lines(spark, in_dir, chosen)), "landed")
+    bases = lines.groupBy("source", "chunk").agg(F.min("line_no").alias("base"))
+    place = F.xxhash64("chunk", F.col("line_no") - F.col("base"), "line").cast("decimal(38,0)")
+    tokens = lines.join(bases, ["source", "chunk"]).groupBy("source").agg(F.sum(place).cast("string").alias("token"))
+    results = chosen.join(tokens, "source", "left").select(
+        "source", "path", "run_id", F.coalesce("token", F.lit("empty")).alias("token"),
+        F.lit("landed").alias("content"), F.lit(None).cast("string").alias("error"),
+    )
+    return results, lines
+
+
+def apply_batch(files: DataFrame, batch: int, in_dir: str, registry: DataFrame, root: str, out: str) -> bool:
     """Take one batch of landed files over into the tables and publish both editions.
 
-    Every write is an overwrite that depends only on the batch and the state of
-    the batch before it, so a batch may be run again after a failure. Lines are
-    kept per source: sources without a new snapshot keep their last good one.
+    Lines are kept per source: a source without a newer snapshot keeps its last
+    good one. Returns whether an edition was published.
     """
     spark = files.sparkSession
-    # Pick files by name first: contents are only read for the newest usable ones.
-    filled = files.filter(F.col("length") > 0)
-    newest = filled.groupBy("source").agg(F.max(F.struct("run_id", "modificationTime", "path")).alias("n"))
-    landed = files.join(newest.select("source", F.col("n.path").alias("path")), ["source", "path"], "left_semi")
-    snapshots = landed.select(
-        "source", "path", "content",
-        F.lit("").alias("token"), F.lit(None).cast("string").alias("error"),
-    )
+    mark = staged_mark(spark)
+    try:
+        return _apply(spark, files, batch, in_dir, registry, root, out)
+    finally:
+        drop_staged(spark, mark)
+
+
+def _apply(spark, files, batch, in_dir, registry, root, out) -> bool:
+    sources = active_sources(registry)
+    files = files.filter(F.col("length") > 0)
     state = _state(spark, root, batch)
-    # Contents are hashed here and read once more below, for what changed.
+    landed, landed_lines = _landed(spark, with_source(files, sources).select(*FILE_COLS), in_dir, state)
+    detect_changes(landed, state).select(*_names(_RESULTS)).write.mode("overwrite").parquet(f"{root}/results/batch={batch}")
+    results = spark.read.schema(_RESULTS).parquet(f"{root}/results/batch={batch}")
+    # The run is noted for unchanged files too, so that older ones stay out.
+    runs = state.select("source", F.col("run_id").alias("old_run")).join(results.select("source", F.col("run_id").alias("new_run")), "source", "full_outer")
     (
-        usable(detect_changes(snapshots, state)).drop("content")
-        .write.mode("overwrite").parquet(f"{root}/results/batch={batch}")
+        upsert_state(state, results).join(runs.select("source", F.coalesce("new_run", "old_run").alias("run_id")), "source")
+        .select(*_names(_STATE)).write.mode("overwrite").parquet(f"{root}/state/batch={batch}")
     )
-    results = spark.read.schema(_RESULTS).parquet(f"{root}/results/batch={batch}")
-    upsert_state(state, results).write.mode("overwrite").parquet(f"{root}/state/batch={batch}")
-    changed = results.filter("changed").select("source", "path")
-    if changed.isEmpty():
+    if not changed_count(results).first().changed:
         return False
-    fresh = files.join(changed, ["source", "path"], "left_semi").select(
-        "source", decode(F.col("content")).alias("text")
-    )
     (
-        list_lines(fresh).select("chunk", "line_no", "line", "source")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source").parquet(f"{root}/lines")
+        landed_lines.join(results.filter("changed").select("source"), "source", "left_semi")
+        .write.mode("overwrite").partitionBy("source").parquet(f"{root}/lines/batch={batch}")
     )
-    stored = spark.read.schema(
-        "chunk bigint, line_no bigint, line string, source string"
-    ).parquet(f"{root}/lines")
-    lines = with_source(stored, sources)
+    stored = spark.read.schema(_LINES).parquet(f"{root}/lines").filter(F.col("batch") <= batch)
+    current = stored.select("source", "batch").distinct().groupBy("source").agg(F.max("batch").alias("batch"))
+    lines = with_source(stored.join(current, ["source", "batch"], "left_semi"), sources).drop("batch")
     rules = stage(parse_rules(lines), "rules")
-    registry = sources.select(F.col("name").alias("source"), "source_ord", "priority", "lite")
-    summary = parsed_counts(rules).join(registry, "source")
+    source_results = (
+        sources.select(F.col("name").alias("source"), "priority").join(results, "source", "left")
+        .withColumn("content", F.lit("kept")).withColumn("changed", F.coalesce("changed", F.lit(False)))
+    )
+    source_status(source_results, parsed_counts(rules)).write.mode("overwrite").parquet(f"{root}/status/batch={batch}")
+    summary = spark.read.parquet(f"{root}/status/batch={batch}").join(
+        sources.select(F.col("name").alias("source"), "source_ord", "lite"), "source")
     at = datetime.now(timezone.utc)
-    done = False
-    for name, chosen in (("lite", F.col("lite")), ("full", F.lit(True))):
+    done, totals = False, []
+    for name in EDITIONS:
+        chosen = F.col("lite") if name == "lite" else F.lit(True)
         merged = attach_comments(merge_rules(rules.filter(chosen)), lines.filter(chosen))
         edition = stage(merged.withColumn("section_rank", section_rank(F.col("rule_type"))), "edition")
         text = edition_text(edition, summary.filter(chosen), at)
-        done = publish(edition, text, f"{out}/{name}") or done
+        if publish(edition, text, f"{out}/{name}", f"{batch:010d}"):
+            done = True
+            totals.append(edition_stats(edition).select(F.lit(name).alias("edition"), F.lit(at).alias("run_ts"), "total_rules", F.lit(batch).cast("bigint").alias("batch")))
+    if totals:
+        now = totals[0] if len(totals) == 1 else totals[0].unionByName(totals[1])
+        earlier = _before(spark, _HISTORY, f"{root}/history", batch) if _exists(spark, f"{root}/history") else spark.createDataFrame([], _HISTORY)
+        deltas = run_deltas(earlier.unionByName(now)).join(now.select("edition", "run_ts"), ["edition", "run_ts"], "left_semi")
+        stage(deltas, "history").write.mode("overwrite").parquet(f"{root}/history/batch={batch}")
     return done
 
 
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def refresh(
     spark: SparkSession, in_dir: str, checkpoint: str, sources: DataFrame, out: str
 ) -> StreamingQuery:
@@ -86,11 +153,14 @@ def refresh(
     Run it from a timer. Dedup over all sources has to see lists that shrink, so
     each batch merges anew instead of keeping rules in stream state.
     """
-    landed = spark.readStream.format("binaryFile").schema(SNAPSHOT_FILES).load(in_dir)
+    landed = (
+        spark.readStream.format("binaryFile").schema(SNAPSHOT_FILES).load(in_dir)
+        .select(F.col("_metadata.file_path").alias("path"), *FILE_COLS[1:])
+    )
     return (
         landed.writeStream
         .foreachBatch(
-            lambda files, batch: apply_batch(files, batch, sources, f"{checkpoint}/tables", out)
+            lambda files, batch: apply_batch(files, batch, in_dir, sources, f"{checkpoint}/tables", out)
         )
         .option("checkpointLocation", f"{checkpoint}/stream")
         .trigger(availableNow=True)

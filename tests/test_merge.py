@@ -84,10 +84,12 @@ def test_merge_against_brute_force(make_lines, seed):
 
 def test_broader_pair(spark):
     cases = [
-        ("||example.com^", "||ads.example.com^", True),
-        ("||example.com^", "||example.com/ads^", True),
-        ("||example.com^", "||other.com^", False),
-        ("||example.com^", "||example.com^", False),
+        ("||shop.test^", "||cdn.eu.shop.test^", True),
+        ("||shop.test^$image", "||shop.test/banner/7.gif$script", True),
+        ("||shop.test^", "||workshop.test^", False),
+        ("||shop.test/pixel", "||shop.test/pixel/2", False),
+        ("||eu.shop.test^", "||shop.test^", False),
+        ("@@||shop.test^", "@@||cdn.shop.test^", True),
         ("||a.com/x.js$script", "||b.a.com^", True),
         ("0.0.0.0 a.com", "0.0.0.0 b.a.com", False),
     ]
@@ -96,6 +98,25 @@ def test_broader_pair(spark):
     assert got == [c[2] for c in cases]
 
 
+def test_unusual_parent_on_a_top_level_domain(make_lines):
+    """Only a parent that is named by one label makes rules ask for one."""
+    odd = "|https://*.net/||net^"
+    rules = "\n".join(["||net^", odd, "||x.y.net^", "||x.y.net/a", "||" + "a." * 4000 + "net^", "||q.org^"])
+    exact = dedup.dedup_exact(parse_rules(make_lines({"s": (1, rules)})))
+    rows = exact.collect()
+    blocks = [(r.domain, r.normalized) for r in rows if r.domain]
+    want = {c[1] for c in blocks if any(covers(p, c) for p in blocks)}
+    assert {r.normalized for r in subsume.covered_rules(exact).collect()} == want
+
+
+def test_merge_stages_only_what_is_asked_for(make_lines):
+    exact = dedup.dedup_exact(parse_rules(make_lines({"s": (1, "||a.com^\n||b.a.com^\n")})))
+    needed = {"key_hash", "normalized", "section", "domain", "key_domain", "usual"}
+    assert set(subsume.prepare(exact, ["source"]).columns) == needed | {"source"}
+    merged = editions.merge_rules(parse_rules(make_lines({"s": (1, "||a.com^\n||b.a.com^\n")})))
+    assert merged.columns == editions.EDITION_COLS
+
+
 def test_coverage_chain_is_one_pass(make_lines):
     lines = make_lines({"s": (1, "||c.b.a.com^\n||b.a.com^\n||a.com^\n||www.a.com/x^\n||a.com^$image\n")})
     kept = subsume.dedup_subsumed(dedup.dedup_exact(parse_rules(lines)))
@@ -172,26 +193,28 @@ def test_carry_and_numbers_against_loops(spark):
     assert [r.n for r in numbered.orderBy("g", "line_no").collect()] == list(range(1, 81))
 
 
-TWO = {
-    "One": (1, "[Adblock Plus 2.0]\n! Title: One\n! Last modified: x\n||double.net^\n@@||e.com/ok^\n"
-               "||ads.e.com^\n! comment\n||tracker.e.com/a.js\nb.com,a.com##.s\n"),
-    "Two": (3, "[x]\n! Title: Two\n! Expires: 4 days\n||double.net^\n||face.com/ads/*\n@@||white.com^\n"
-               "127.0.0.1 bad.com\na.com,b.com##.s\na.com#@#.s\n||e.com^\n"),
+#: Source 0 is lite. Both lists hold ||cdn.test^ and the same scoped rule in another order.
+PAIR = {
+    "garden": (4, "! Expires: 2 days\n||cdn.test^\n! from the hedge\n\n||img.pond.test/frog.js\n"
+                  "@@||pond.test/help^\nq.test,m.test##.weed\n||lily.pond.test^$image\n"),
+    "kitchen": (2, "! Title: Kitchen\nm.test,q.test##.weed\n0.0.0.0 mould.test\n||pond.test^\n"
+                   "! last words\n||cdn.test^\nm.test#@#.spoon\n@@||oven.test^\n||fork.test/tine/*\n"),
 }
 
 
 def test_edition_end_to_end(make_lines):
-    edition = editions.build_edition(make_lines(TWO)).collect()
+    edition = editions.build_edition(make_lines(PAIR)).collect()
     assert [r.raw for r in edition] == [
-        "! Title: One", "! Title: Two", "! Expires: 4 days", "@@||e.com/ok^", "@@||white.com^",
-        "||double.net^", "||face.com/ads/*", "127.0.0.1 bad.com", "||e.com^", "a.com#@#.s", "b.com,a.com##.s",
+        "! Title: Kitchen", "! Expires: 2 days", "@@||oven.test^", "@@||pond.test/help^",
+        "0.0.0.0 mould.test", "||pond.test^", "||cdn.test^", "||fork.test/tine/*", "m.test#@#.spoon", "m.test,q.test##.weed",
     ]
-    assert next(r.priority for r in edition if r.raw == "||double.net^") == 1
-    lite = editions.build_edition(make_lines(TWO), lite=True).collect()
-    assert [r.raw for r in lite] == [
-        "! Title: One", "@@||e.com/ok^", "||double.net^", "||ads.e.com^", "||tracker.e.com/a.js", "b.com,a.com##.s",
+    kept = {r.raw: (r.source, r.comments) for r in edition}
+    assert kept["||cdn.test^"] == ("kitchen", ["! last words"]) and kept["m.test,q.test##.weed"][0] == "kitchen"
+    lite = editions.build_edition(make_lines(PAIR), lite=True).collect()
+    assert [(r.raw, r.comments) for r in lite] == [
+        ("! Expires: 2 days", []), ("@@||pond.test/help^", []), ("||cdn.test^", []),
+        ("||img.pond.test/frog.js", ["! from the hedge"]), ("||lily.pond.test^$image", []), ("q.test,m.test##.weed", []),
     ]
-    assert lite[4].comments == ["! comment"]
 
 
 def test_too_long_rules_cover_before_they_go(make_lines):

@@ -58,16 +58,15 @@ def test_rule_type_pattern_domain(make_lines):
 
 
 OPTIONS = [
-    ("||e.com^$script,image,domain=a.com|~b.com,important",
-     {"script": None, "image": None, "domain": "a.com|~b.com", "important": None}),
-    ("||e.com^$redirect=noop.txt", {"redirect": "noop.txt"}),
-    ("||e.com^$replace=/(a,b)/g,script", {"replace": "/(a,b)/g", "script": None}),
-    (r"||e.com^$replace=/\/ads\//g,image", {"replace": r"/\/ads\//g", "image": None}),
-    ("||e.com^$removeparam=/^utm_/", {"removeparam": "/^utm_/"}),
-    (r"||e.com^$permissions=autoplay=()\, camera=(),script",
-     {"permissions": r"autoplay=()\, camera=()", "script": None}),
-    ("||e.com^$xhr,rewrite=/a/b/,stealth", {"xhr": None, "rewrite": "/a/b/", "stealth": None}),
-    ("||e.com^$replace=/open,script", {"replace": "/open,script"}),
+    ("||e.com^$font,ping,domain=~z.net|y.net,third-party",
+     {"font": None, "ping": None, "domain": "~z.net|y.net", "third-party": None}),
+    ("||e.com^$redirect=blank.mp4", {"redirect": "blank.mp4"}),
+    ("||e.com^$replace=/one(, two)?/three/i,media", {"replace": "/one(, two)?/three/i", "media": None}),
+    (r"||e.com^$replace=/a\/b,c/d/,font", {"replace": r"/a\/b,c/d/", "font": None}),
+    ("||e.com^$removeparam=/^ref[0-9]{1,3}$/", {"removeparam": "/^ref[0-9]{1,3}$/"}),
+    (r"||e.com^$header=via:x\, y\, z,ping", {"header": r"via:x\, y\, z", "ping": None}),
+    ("||e.com^$ping,removeparam=/p,q/,font", {"ping": None, "removeparam": "/p,q/", "font": None}),
+    ("||e.com^$replace=/never shut,font", {"replace": "/never shut,font"}),
     ("||e.com^$image=1,script,image=2", {"image": "2", "script": None}),
     ("||e.com^$ script , image = x", {"script": None, "image": " x"}),
     ("e.com##div[a=$script]", {}),
@@ -101,7 +100,7 @@ def test_line_kinds(make_lines):
     rows = parse.classify_lines(make_lines({"s": (1, text)})).orderBy("chunk", "line_no").collect()
     assert [r.kind for r in rows] == [
         "header", "comment", "section-marker", "section-marker", "block-marker", "rule", "hash-comment",
-        "hash-comment", "hash-comment", "rule", "blank", "blank", "rule", "hosts", "rule", "blank",
+        "hash-comment", "hash-comment", "rule", "blank", "blank", "rule", "hosts", "rule",
     ]
 
 
@@ -111,6 +110,9 @@ def test_splitting_and_stripping_follow_unicode(spark):
     df = spark.createDataFrame([("s", text)], "source string, text string")
     got = [r.line for r in list_lines(df).orderBy("line_no").collect()]
     assert got == text.splitlines()
+    for ending in ("", "\n", "a\n", "a\n\n", "\r\n\n a"):
+        df = spark.createDataFrame([("s", ending)], "source string, text string")
+        assert [r.line for r in list_lines(df).orderBy("line_no").collect()] == ending.splitlines()
     padded = ["  x　", "\x1cx y\x85", "  ", "﻿x"]
     df = spark.createDataFrame([(p,) for p in padded], "t string")
     assert [r[0] for r in df.select(strip(F.col("t"))).collect()] == [p.strip() for p in padded]

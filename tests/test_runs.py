@@ -1,4 +1,6 @@
-from datetime import datetime
+from datetime import datetime, timezone
+import glob
+import os
 
 import pytest
 
@@ -42,30 +44,58 @@ def land(root, run, texts):
 
 
 def test_read_lists_decodes_and_joins(spark, tmp_path):
-    land(tmp_path, "1", {"Fan's List": b"||a.com^\xff\n", "2024": "﻿[x]\n", "unknown": "||z.com^\n"})
-    sources = sources_of(spark, [("2024", 2, True, True), ("Fan's List", 1, None, True)])
+    land(tmp_path, "1", {"Fan's List": b"||a.com^\xff\n", "2024": "\ufeff[x]\n", "unknown": "||z.com^\n", "off": "||o.com^\n"})
+    sources = sources_of(spark, [("2024", 2, True, True), ("Fan's List", 1, None, True), ("off", 1, None, False)])
     rows = {r.source: r for r in lists.read_lists(spark, str(tmp_path), sources).collect()}
     assert {k: (r.text, r.priority, r.lite, r.run_id) for k, r in rows.items()} == {
-        "Fan's List": ("||a.com^�\n", 1, False, "1"), "2024": ("﻿[x]\n", 2, True, "1"),
+        "Fan's List": ("||a.com^\ufffd\n", 1, False, "1"), "2024": ("\ufeff[x]\n", 2, True, "1"),
     }
 
 
 def test_split_files_give_the_same_rules(spark, tmp_path):
     text = "".join(f"! c{i}\n||r{i}.example.com^\x0b0.0.0.0 h{i}\r\n" for i in range(3000))
-    land(tmp_path, "1", {"big": text, "small": "||x.com^\n"})
+    land(tmp_path, "1", {"big": "\ufeff" + text, "small": "||x.com^\n"})
     sources = sources_of(spark, [("big", 1, True, True), ("small", 2, True, True)])
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    found = []
     try:
-        split = lists.read_lines(spark, str(tmp_path), sources, whole_file_bytes=1000)
-        assert split.filter("source = 'big'").select("chunk").distinct().count() > 3
-        whole = lists.read_lines(spark, str(tmp_path), sources)
-        a, b = (
-            [(r.raw, r.comments) for r in editions.build_edition(x).collect()] for x in (split, whole)
-        )
+        for size in ("7000", "20000", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = lists.read_lines(spark, str(tmp_path), sources)
+            assert size == old or rows.filter("source = 'big'").select("chunk").distinct().count() > 3
+            found.append([(r.raw, r.comments) for r in editions.build_edition(rows).collect()])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert a == b and len(a) == 6001
+    assert found[0] == found[1] == found[2] and len(found[0]) == 6001
+    assert found[0][0] == ("||r0.example.com^", ["! c0"])
+
+
+def test_newest_usable_file_of_each_source(spark, tmp_path):
+    sources = sources_of(spark, [("a", 1, True, True), ("b", 2, True, True), ("c", 3, True, True)])
+    land(tmp_path, "9", {"a": "! c1\n||x.com^\n", "b": "||old.com^\n", "c": "||c9.com^\n"})
+    land(tmp_path, "10", {"a": "! c2\n||y.com^\n", "b": ""})
+    two = tmp_path / "run_id=9" / "source=c" / "second.txt"
+    two.write_text("||c9b.com^\n")
+    os.utime(two, (2_000_000_000, 2_000_000_000))
+    edition = editions.build_edition(lists.read_lines(spark, str(tmp_path), sources)).collect()
+    assert [(r.raw, r.comments) for r in edition] == [("||y.com^", ["! c2"]), ("||old.com^", []), ("||c9b.com^", [])]
+
+
+def test_staging_needs_a_shared_folder(spark, monkeypatch):
+    from rulemill import staging
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/tmp/w"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="share"):
+        staging.work_dir(Session())
+    mark = staging.staged_mark(spark)
+    staged = staging.stage(spark.range(3), "kept")
+    assert staged.count() == 3 and staging.drop_staged(spark, mark) == 1
 
 
 def results_of(spark, rows):
@@ -124,14 +154,16 @@ def test_deltas_and_retention(spark):
     typed = df.withColumn("run_ts", df.run_ts.cast("timestamp"))
     got = history.run_deltas(typed).orderBy("run_ts").collect()
     assert [(r.added, r.removed) for r in got] == [(None, None), (0, 3), (2, 0)]
-    kept = history.retain(typed, datetime(2024, 1, 4), 2).collect()
+    with pytest.raises(ValueError, match="time zone"):
+        history.retain(typed, datetime(2024, 1, 4), 2)
+    kept = history.retain(typed, datetime(2024, 1, 4, tzinfo=timezone.utc), 2).collect()
     assert [r.total_rules for r in kept] == [9]
     texts = spark.createDataFrame(
         [("a", "2024-01-03T07:59:00 CST"), ("b", "2024-01-03T08:01:00 CST"), ("c", "2024-01-03T00:00:00Z"),
          ("d", "2024-01-03T00:01:00Z"), ("e", "someday"), ("f", None)],
         "edition string, run_ts string",
     )
-    kept = history.retain(texts, datetime(2024, 1, 4), 1).collect()
+    kept = history.retain(texts, datetime(2024, 1, 4, tzinfo=timezone.utc), 1).collect()
     assert {r.edition for r in kept} == {"b", "d", "e"}
 
 
@@ -154,8 +186,10 @@ def test_published_text_reads_back(spark, make_lines, tmp_path):
     summary = type_rules(lines).groupBy("source", "priority", "source_ord").count().withColumnRenamed("count", "rule_count")
     text = editions.edition_text(edition, summary, datetime(2024, 1, 1, 20, 0))
     out = tmp_path / "out"
-    assert editions.publish(edition, text, str(out))
-    published = "".join(p.read_text(encoding="utf-8") for p in sorted(out.glob("part-*")))
+    assert editions.publish(edition, text, str(out), "0001")
+    version = editions.published_version(spark, str(out))
+    assert version.endswith("/0001")
+    published = "".join(p.read_text(encoding="utf-8") for p in sorted((out / "0001").glob("part-*")))
     assert published.splitlines()[:2] == ["[AdBlock Plus 2.0]", "! Title: Merged filter list"]
     assert published[published.index("! Version"):] == "\n".join([
         "! Version: 2024-01-02T04:00:00 CST", "! Last modified: 2024-01-02T04:00:00 CST",
@@ -171,8 +205,12 @@ def test_published_text_reads_back(spark, make_lines, tmp_path):
     assert reread.pop("stamp") == "2024-01-02T04:00:00 CST" and reread == stat
 
     nothing = edition.filter("false")
-    assert not editions.publish(nothing, text, str(out))
-    assert published == "".join(p.read_text(encoding="utf-8") for p in sorted(out.glob("part-*")))
+    assert not editions.publish(nothing, text, str(out), "0002")
+    assert editions.published_version(spark, str(out)) == version
+    # A version without its success marker does not count.
+    (out / "0003").mkdir()
+    assert editions.published_version(spark, str(out)) == version
+    assert editions.published_version(spark, str(tmp_path / "none")) is None
 
 
 def test_reread_skips_bracket_rules_and_defaults_to_block(spark):
@@ -190,38 +228,73 @@ def test_quick_profile_knows_fewer_separators(spark):
     assert got == {"f": (6, 99, 2, 2, 2), "none": (0, 0, 0, 0, 0)}
 
 
+def lines_of(folder):
+    newest = max(p.parent for p in folder.glob("*/_SUCCESS"))
+    return [line for p in sorted(newest.glob("part-*")) for line in p.read_text(encoding="utf-8").splitlines()]
+
+
 def published(folder):
-    return [
-        line for p in sorted(folder.glob("part-*")) for line in p.read_text(encoding="utf-8").splitlines()
-        if line and not line.startswith(("!", "["))
-    ]
+    return [line for line in lines_of(folder) if line and not line.startswith(("!", "["))]
 
 
-def test_refresh_takes_new_files_and_keeps_the_rest(spark, tmp_path):
-    landing, out = tmp_path / "in", tmp_path / "out"
-    sources = sources_of(spark, [("one", 1, True, True), ("two", 2, False, True)])
+@pytest.fixture
+def refreshed(spark, tmp_path):
+    """(land, go, out): land files, refresh once, look at the output."""
 
-    def go():
-        query = run_refresh(spark, str(landing), str(tmp_path / "cp"), sources, str(out))
+    def go(rows):
+        query = run_refresh(spark, str(tmp_path / "in"), str(tmp_path / "cp"), sources_of(spark, rows), str(tmp_path / "out"))
         query.awaitTermination()
+        assert query.exception() is None
+
+    return lambda run, texts: land(tmp_path / "in", run, texts), go, tmp_path / "out"
+
 
-    land(landing, "1", {"one": "||a.com^\n||b.com^\n", "two": "||x.a.com^\n||c.com^\n"})
-    go()
+def test_refresh_takes_new_files_and_keeps_the_rest(spark, tmp_path, refreshed):
+    add, go, out = refreshed
+    sources = [("one", 1, True, True), ("two", 2, False, True), ("off", 3, True, False), ("idle", 4, False, True), ("silent", 5, False, True)]
+    add("8", {"one": "||a.com^\n||b.com^\n", "two": "||x.a.com^\n||c.com^\n", "off": "||disabled.com^\n", "idle": "! nothing yet\n"})
+    go(sources)
     assert published(out / "full") == ["||a.com^", "||b.com^", "||c.com^"]
     assert published(out / "lite") == ["||a.com^", "||b.com^"]
-    # The list shrinks, the other source brings nothing new.
-    land(landing, "2", {"one": "||b.com^\n"})
-    go()
+    listed = [line for line in lines_of(out / "full") if "rules (priority" in line]
+    assert listed == ["!   one: 2 rules (priority 1)", "!   two: 2 rules (priority 2)", "!   idle: 0 rules (priority 4)", "!   silent: 0 rules (priority 5)"]
+    # The list shrinks, the other source brings nothing new; then an older run lands late.
+    add("10", {"one": "||b.com^\n"})
+    go(sources)
     assert published(out / "full") == ["||b.com^", "||x.a.com^", "||c.com^"]
     assert published(out / "lite") == ["||b.com^"]
-    before = sorted(p.name for p in (out / "full").glob("part-*"))
-    land(landing, "3", {"one": "||b.com^\n"})
-    land(landing, "4", {"one": "", "two": ""})
-    go()
-    assert sorted(p.name for p in (out / "full").glob("part-*")) == before
+    versions = sorted(glob.glob(f"{out}/full/*"))
+    add("9", {"one": "||late.com^\n"})
+    add("11", {"one": "||b.com^\n"})
+    add("12", {"one": "", "two": ""})
+    go(sources)
+    assert sorted(glob.glob(f"{out}/full/*")) == versions
+    # Order inside a list is part of its content; a source that is switched off goes.
+    add("13", {"one": "||z.com^\n||b.com^\n"})
+    go([("one", 1, True, True), ("two", 2, False, False)])
+    assert published(out / "full") == ["||z.com^", "||b.com^"]
+    kept = spark.read.parquet(str(tmp_path / "cp/tables/history")).filter("edition = 'full'").orderBy("run_ts").collect()
+    assert [(r.total_rules, r.added, r.removed) for r in kept] == [(3, None, None), (3, 0, 0), (2, 0, 1)]
+    status = {r.source: r.status for r in spark.read.parquet(glob.glob(f"{tmp_path}/cp/tables/status/batch=1")[0]).collect()}
+    assert status == {"one": "updated", "two": "unchanged", "idle": "unchanged", "silent": "unchanged"}
+
+
+def test_repeated_batch_and_metadata_only_stream(spark, tmp_path):
+    from rulemill.streaming.refresh import apply_batch
+
+    land(tmp_path / "in", "1", {"one": "||a.com^\n"})
+    sources = sources_of(spark, [("one", 1, True, True)])
+    files = lists.list_files(spark, str(tmp_path / "in"))
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]
+    for _ in range(2):
+        assert apply_batch(files, 0, str(tmp_path / "in"), sources, str(tmp_path / "t"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "t/history")).filter("edition = 'full'").count() == 1
+    assert published(tmp_path / "out" / "full") == ["||a.com^"]
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
+    from rulemill.checks.oracles import ORACLES
+    from rulemill.checks.queries import QUERIES
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
