@@ -11,8 +11,9 @@ Links are confirmed on the full shingle sets of the two texts. Only components
 are asked for, so a bucket is not turned into all its pairs: sets equal by a
 128-bit digest become one node first; then every node of a bucket is compared
 with its leader, the node with the most company, and verified links merge
-components; components that still share a bucket are then compared in block
-pairs of bounded size, from which only links come out. So leaders lose nothing.
+components; nodes of buckets that still span components are then compared in
+block pairs of bounded size, by left key, from which only links that join
+components come out. So leaders lose nothing.
 Buckets are aggregates and equi-joins over written tables, which adaptive
 execution splits where they are skewed.
 
@@ -154,64 +155,61 @@ FOUND = "a long, b long"
 
 
 def _compare(k: int, similarity: int):
-    """Similar pairs between the two sides of a block pair, one for each row of the lesser side."""
+    """Links that join components, between the two blocks of a pair or within one."""
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        lesser = np.array(group.column("lesser").to_pylist(), bool)
-        ids = group.column("doc_id").to_numpy()
+        block, ids, roots = (group.column(c).to_numpy() for c in ("block", "doc_id", "root"))
         texts = group.column("text").combine_chunks()
         sets = [s for part in slices(texts) for s in shingle_sets(part, k)]
-        large = np.flatnonzero(~lesser)
-        owner = np.repeat(large, [len(sets[i]) for i in large])
-        hashes = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in large)])
+        size = np.array([len(s) for s in sets], np.int64)
+        low, high = int(block.min()), int(block.max())
+        stored, asking = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        owner = np.repeat(stored, size[stored])
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in stored)])
         order = np.argsort(hashes, kind="stable")
         hashes, owner = hashes[order], owner[order]
-        size = np.array([len(s) for s in sets], np.int64)
+        joined = {r: r for r in roots.tolist()}
+
+        def top(r: int) -> int:
+            while joined[r] != r:
+                joined[r] = r = joined[joined[r]]
+            return r
+
         links = []
-        for i in np.flatnonzero(lesser):
+        for i in asking:
             lo, hi = (np.searchsorted(hashes, sets[i], side) for side in ("left", "right"))
             width = hi - lo
             at = np.repeat(lo - np.cumsum(width) + width, width) + np.arange(width.sum())
             common = np.bincount(owner[at], minlength=len(sets))
-            for j in np.flatnonzero((common > 0) & (100 * common >= similarity * (size[i] + size - common))):
-                one, other = (word_set(texts[int(x)].as_buffer().to_pybytes(), k) for x in (i, j))
-                same = len(one & other)
-                if 100 * same >= similarity * (len(one) + len(other) - same):
-                    links.append((ids[i], ids[j]))
-                    break
+            near = (common > 0) & (roots != roots[i]) & (100 * common >= similarity * (size[i] + size - common))
+            for j in np.flatnonzero(near):
+                one, other = top(int(roots[i])), top(int(roots[j]))
+                if one != other:
+                    mine, theirs = (word_set(texts[int(x)].as_buffer().to_pybytes(), k) for x in (i, j))
+                    same = len(mine & theirs)
+                    if 100 * same >= similarity * (len(mine) + len(theirs) - same):
+                        joined[one] = other
+                        links.append((ids[i], ids[j]))
         return pa.table({c: pa.array([x[n] for x in links], pa.int64()) for n, c in enumerate("ab")})
 
     return compare
 
 
-def block_links(related: DataFrame, members: DataFrame, k: int, similarity: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Links between related components: (one, two) and (root, doc_id, text).
+def block_links(members: DataFrame, k: int, similarity: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Links that join components within families: (family, root, doc_id, text).
 
-    The lesser component of each relation is compared with the larger one in
-    pairs of blocks of bounded size, so a component of any size is spread over
-    tasks, and only links leave a task.
+    A family is compared in pairs of blocks of bounded size: one of any size is
+    spread over tasks, and only links that join components leave a task.
     """
-    sized = stage(members.groupBy("root").agg(F.sum(F.octet_length("text") + 1).alias("bytes")), "component-sizes")
-    one, two = (sized.select(F.col("root").alias(c), F.col("bytes").alias(f"bytes_{c}")) for c in ("one", "two"))
-    swap = F.struct("bytes_one", "one") > F.struct(F.col("bytes_two").alias("bytes_one"), F.col("two").alias("one"))
-    relation = stage(
-        related.join(one, "one").join(two, "two").select(
-            F.when(swap, F.col("one")).otherwise(F.col("two")).alias("large"), F.when(swap, F.col("two")).otherwise(F.col("one")).alias("lesser_root"),
-            F.least("bytes_one", "bytes_two").alias("bytes"),
-        ), "relations")
-    blocks = stage(
-        relation.groupBy("large").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("lesser_blocks"))
-        .join(sized.withColumnRenamed("root", "large"), "large")
-        .select("large", "lesser_blocks", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("large_blocks")), "blocks")
-    place = lambda n: F.pmod(F.xxhash64("doc_id", "text"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    large = members.join(blocks, F.col("root") == F.col("large")).select("large", place("large_blocks").alias("i"), every("lesser_blocks").alias("j"), F.lit(False).alias("lesser"), "doc_id", "text")
-    lesser = (
-        members.join(relation.select("large", F.col("lesser_root").alias("root")), "root").join(blocks, "large")
-        .select("large", every("large_blocks").alias("i"), place("lesser_blocks").alias("j"), F.lit(True).alias("lesser"), "doc_id", "text")
+    sizes = stage(
+        members.groupBy("family").agg(F.ceil(F.sum(F.octet_length("text") + 1) / block_bytes).cast("int").alias("n_blocks")), "families")
+    cut = (
+        members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.col("n_blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+        .select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "root", "text")
     )
-    return large.unionByName(lesser).groupBy("large", "i", "j").applyInArrow(_compare(k, similarity), FOUND)
+    return cut.groupBy("family", "i", "j").applyInArrow(_compare(k, similarity), FOUND)
 
 
 # Links
@@ -227,9 +225,10 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int = K, similarity: int =
     nodes = named.join(firsts, ["d1", "d2"]).filter("doc_id = rep").select("doc_id", "d1", "d2", "n_shingles", "lefts", "rights").dropDuplicates(["doc_id", "d1", "d2"])
     table = F.explode(F.flatten(F.transform(
         F.sequence(F.lit(0), F.lit(side - 1)),
-        lambda i: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda j: F.xxhash64(i, j, F.get("lefts", i), F.get("rights", j))),
+        lambda i: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda j: F.struct(
+            F.xxhash64(i, F.get("lefts", i)).alias("family"), F.xxhash64(i, j, F.get("lefts", i), F.get("rights", j)).alias("key"))),
     )))
-    keyed = nodes.select(F.col("doc_id").alias("a"), "n_shingles", table.alias("key"))
+    keyed = nodes.select(F.col("doc_id").alias("a"), "n_shingles", table.alias("t")).select("a", "n_shingles", "t.family", "t.key")
     shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared-keys")
     rows = stage(keyed.join(shared, "key"), "buckets")
     texts = stage(docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(rows.select(F.col("a").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id", "text"]), "candidates")
@@ -242,16 +241,12 @@ def near_links(docs: DataFrame, signed: DataFrame, k: int = K, similarity: int =
     pairs = stage(rows.join(leaders, "key").filter((F.col("a") != F.col("b")) & fits).select("a", "b").distinct(), "pairs")
     links = same.unionByName(stage(confirmed(pairs, texts, k, similarity), "near-links"))
     roots = stage(components(links), "roots")
-    rooted = stage(rows.select("key", "a").join(roots.select(F.col("node").alias("a"), "root"), "a", "left").select("key", F.coalesce("root", "a").alias("root")).distinct(), "roots-in-buckets")
-    still = stage(rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "open-keys")
-    some = rooted.join(still, "key")
-    related = stage(
-        some.select("key", F.col("root").alias("one")).join(some.select("key", F.col("root").alias("two")), "key").filter("one < two").select("one", "two").distinct(), "related"
-    )
+    rooted = stage(rows.select("family", "key", "a").join(roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a")), "roots-in-buckets")
+    still = stage(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key"), "open-keys")
+    # Buckets of one left key are compared together: 8 groups hold what 64 tables do.
     members = stage(
-        texts.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-        .join(related.select(F.explode(F.array("one", "two")).alias("root")).distinct(), "root"), "members")
-    return links.unionByName(stage(block_links(related, members, k, similarity), "block-links"))
+        rooted.join(still, "key").select("family", "root", F.col("a").alias("doc_id")).distinct().join(texts, "doc_id"), "members")
+    return links.unionByName(stage(block_links(members, k, similarity), "block-links"))
 
 
 def near_duplicates(docs: DataFrame, k: int = K, similarity: int = SIMILARITY, side: int = SIDE, half: int = HALF) -> DataFrame:

@@ -119,16 +119,16 @@ def test_minhash(documents, rng):
 
 
 def test_block_links(spark, rng):
-    """Related components in blocks of a few texts find what all pairs hold."""
-    rows = [(d % 3, d, t.encode()) for d, t in near_rows(rng) if d is not None and t]
-    members = spark.createDataFrame(rows, "root long, doc_id long, text binary")
-    related = spark.createDataFrame([(0, 1), (1, 2), (0, 2)], "one long, two long")
-    got = [(r.a, r.b) for r in op08_minhash.block_links(related, members, 4, 80, 2000).collect()]
-    sets = {(r, d): shingles(t.decode()) for r, d, t in rows}
-    pairs = {frozenset((x[1], y[1])) for x in sets for y in sets if x[0] != y[0] and sets[x] & sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
-    assert {frozenset(p) for p in got} <= pairs
-    merged = [smallest_reachable([0, 1, 2], [sorted(d % 3 for d in p) for p in some if len(p) == 2]) for some in (map(frozenset, got), pairs)]
-    assert pairs and merged[0] == merged[1]
+    """Families in blocks of a few texts join the components that all pairs join."""
+    rows = [(i % 2, d % 5, d, t.encode()) for i, (d, t) in enumerate(near_rows(rng)) if d is not None and t]
+    sets = {(f, r, d): shingles(t.decode()) for f, r, d, t in rows}
+    pairs = {(x[2], y[2]) for x in sets for y in sets if x[0] == y[0] and x[1] != y[1] and sets[x] & sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
+    members = spark.createDataFrame(rows, "family long, root long, doc_id long, text binary")
+    for size in (1500, 1 << 20):
+        got = {(r.a, r.b) for r in op08_minhash.block_links(members, 4, 80, size).collect()}
+        assert pairs and got <= pairs
+        merged = [smallest_reachable(range(5), [(a % 5, b % 5) for a, b in some]) for some in (got, pairs)]
+        assert merged[0] == merged[1]
 
 
 def test_minhash_hot_group(documents, rng):
