@@ -294,6 +294,7 @@ registry AS (
          CAST(s_suppkey AS INTEGER) AS source_ord
   FROM supplier)"""
 
+MARKED = " ".join(f"WHEN starts_with(text, {q(prefix)}) THEN {q(section)}" for prefix, section in fixed.MARK_PREFIXES)
 PUBLISHED = f"""
 published AS (
   SELECT 'edition' || (page_id % 3) AS edition, page_id AS line_no, {strip(f'''CASE
@@ -307,10 +308,7 @@ published AS (
 placed AS (
   SELECT *, text <> '' AND NOT starts_with(text, '!') AND NOT starts_with(text, '[') AS is_rule,
     coalesce(last_value(CASE
-      WHEN starts_with(text, '! ========== 例外规则') THEN 'exception'
-      WHEN starts_with(text, '! ========== 网络请求拦截') THEN 'block'
-      WHEN starts_with(text, '! ========== 元素隐藏规则') THEN 'element'
-      WHEN starts_with(text, '! ========== 隐藏例外') THEN 'element' END IGNORE NULLS)
+      {MARKED} END IGNORE NULLS)
       OVER (PARTITION BY edition ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'block') AS section
   FROM published)"""
 
@@ -494,8 +492,8 @@ ORACLES: dict[str, str] = {
     ),
     "edition_text": _all(
         f"""SELECT CAST(part AS INTEGER) AS part, CAST(priority AS INTEGER) AS priority,
-              CAST(source_ord AS INTEGER) AS source_ord, line_no, CAST(sub AS INTEGER) AS sub, text FROM (
-            SELECT 0 AS part, NULL AS priority, NULL AS source_ord, NULL AS line_no, i AS sub, ([
+              CAST(source_ord AS INTEGER) AS source_ord, line_no, is_rule, CAST(c_line AS BIGINT) AS c_line, text FROM (
+            SELECT 0 AS part, NULL AS priority, NULL AS source_ord, NULL AS line_no, 0 AS is_rule, i AS c_line, ([
               '[AdBlock Plus 2.0]', '! Title: Merged filter list',
               '! Description: Filter list merged from several upstream sources',
               '! Homepage: https://example.org/', '! Expires: 20 minutes',
@@ -505,21 +503,23 @@ ORACLES: dict[str, str] = {
             FROM (SELECT count(*) FILTER (section = 'exception') AS e, count(*) FILTER (section = 'block') AS b,
                          count(*) FILTER (section = 'element') AS h, unnest(range(12)) AS i FROM edition)
             UNION ALL
-            SELECT 1, priority, source_ord, NULL, 0,
+            SELECT 1, priority, source_ord, NULL, 0, NULL,
               '!   ' || source || ': ' || count(*) || ' rules (priority ' || priority || ')'
             FROM rules GROUP BY source, priority, source_ord
-            UNION ALL SELECT 2, NULL, NULL, NULL, 0, '!'
-            UNION ALL SELECT 20, NULL, NULL, NULL, 0, {q(fixed.MARK_EXCEPTION)}
+            UNION ALL SELECT 2, NULL, NULL, NULL, 0, NULL, '!'
+            UNION ALL SELECT 20, NULL, NULL, NULL, 0, NULL, {q(fixed.MARK_EXCEPTION)}
               WHERE EXISTS (SELECT 1 FROM edition WHERE section = 'exception')
-            UNION ALL SELECT 30, NULL, NULL, NULL, 0, {q(fixed.MARK_BLOCK)}
+            UNION ALL SELECT 30, NULL, NULL, NULL, 0, NULL, {q(fixed.MARK_BLOCK)}
               WHERE EXISTS (SELECT 1 FROM edition WHERE section = 'block')
-            UNION ALL SELECT 40, NULL, NULL, NULL, 0, {q(fixed.MARK_ELEMENT)}
+            UNION ALL SELECT 40, NULL, NULL, NULL, 0, NULL, {q(fixed.MARK_ELEMENT)}
               WHERE EXISTS (SELECT 1 FROM edition WHERE section = 'element')
-            UNION ALL SELECT 41, NULL, NULL, NULL, 0, {q(fixed.MARK_HIDE_EXCEPTION)}
+            UNION ALL SELECT 41, NULL, NULL, NULL, 0, NULL, {q(fixed.MARK_HIDE_EXCEPTION)}
               WHERE EXISTS (SELECT 1 FROM edition WHERE rule_type = 'hide-exception')
             UNION ALL
-            SELECT ([10, 21, 31, 42, 43])[{RANK} + 1], priority, source_ord, line_no, sub, texts[sub + 1]
-            FROM (SELECT *, list_append(comment_list, raw) AS texts, unnest(range(len(comment_list) + 1)) AS sub FROM edition))
+            SELECT ([10, 21, 31, 42, 43])[{RANK} + 1], priority, source_ord, line_no, 1, NULL, raw FROM edition
+            UNION ALL
+            SELECT ([10, 21, 31, 42, 43])[{RANK} + 1], priority, source_ord, e.line_no, 0, w.line_no, w.text
+            FROM edition e JOIN waiting w ON w.kind = 'comment' AND w.source = e.source AND w.target = (e.chunk, e.line_no))
             """
     ),
     "net_delta": _with(

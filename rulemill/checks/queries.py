@@ -472,8 +472,8 @@ def edition_text(spark, d):
     rules = parse.type_rules(lines)
     edition = stage(editions.edition_rules(lines), "edition")
     summary = rules.groupBy("source", "priority", "source_ord").agg(_count("rule_count"))
-    text = editions.edition_text(edition, summary, AT)
-    return text.select("part", "priority", "source_ord", "line_no", "sub", "text")
+    text = editions.edition_text(edition, parse.comment_rows(lines), summary, AT)
+    return text.select("part", "priority", "source_ord", "line_no", "is_rule", "c_line", "text")
 
 
 def _history(spark, d):

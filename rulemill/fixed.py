@@ -95,6 +95,25 @@ MARK_PREFIXES = [
 ]
 STAMP_PREFIX = "! Last modified:"
 
+# Preamble of a published edition: texts, then counts, then the sources.
+PREAMBLE = [
+    "[AdBlock Plus 2.0]",
+    "! Title: {title}",
+    "! Description: {description}",
+    "! Homepage: {homepage}",
+    "! Expires: 20 minutes",
+    "! Version: {stamp}",
+    "! Last modified: {stamp}",
+]
+PREAMBLE_COUNTS = {
+    "total_rules": "! Total rules: %d",
+    "exception_rules": "!   Exception rules: %d",
+    "block_rules": "!   Block rules: %d",
+    "hide_rules": "!   Hide rules: %d",
+}
+PREAMBLE_SOURCES = "! Sources:"
+PREAMBLE_SOURCE = "!   %s: %d rules (priority %d)"
+
 # White space as Unicode text tools strip it (all of White_Space plus U+001C-1F).
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"

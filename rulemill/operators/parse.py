@@ -85,13 +85,14 @@ def parsed_key() -> Column:
     ).otherwise(F.lower("raw"))
 
 
-def rule_comments(lines: DataFrame) -> DataFrame:
-    """Comments waiting for each rule: source, chunk, line_no, comments.
+def comment_rows(lines: DataFrame) -> DataFrame:
+    """Comments with the rule they wait for: source, chunk, line_no of the rule,
+    c_chunk, c_line, comment.
 
     A comment belongs to the next rule of its source, however many lines that
     are no rules lie between. Only places and comment texts are shuffled, never
     rule texts, and by (source, chunk), so a long list does not end up in one
-    task. Rules without comments have no row.
+    task; a block of any number of comments stays as many rows.
     """
     kind = F.col("kind")
     here = F.struct("chunk", "line_no")
@@ -107,15 +108,18 @@ def rule_comments(lines: DataFrame) -> DataFrame:
     located = carry(
         stage(marked, "places"), ["source"], "place", "target", backwards=True, keep=F.col("comment").isNotNull()
     )
-    ordered = F.sort_array(F.collect_list(F.struct("chunk", "line_no", "comment")))
+    return located.filter(F.col("target").isNotNull()).select(
+        "source", F.col("target.chunk").alias("chunk"), F.col("target.line_no").alias("line_no"),
+        F.col("chunk").alias("c_chunk"), F.col("line_no").alias("c_line"), "comment",
+    )
+
+
+def rule_comments(lines: DataFrame) -> DataFrame:
+    """Comments of each rule as an array: source, chunk, line_no, comments."""
+    ordered = F.sort_array(F.collect_list(F.struct("c_chunk", "c_line", "comment")))
     return (
-        located.filter(F.col("target").isNotNull())
-        .groupBy("source", F.col("target.chunk").alias("_chunk"), F.col("target.line_no").alias("_line"))
-        .agg(ordered.alias("_waiting"))
-        .select(
-            "source", F.col("_chunk").alias("chunk"), F.col("_line").alias("line_no"),
-            F.transform("_waiting", lambda w: w["comment"]).alias("comments"),
-        )
+        comment_rows(lines).groupBy("source", "chunk", "line_no").agg(ordered.alias("_waiting"))
+        .select("source", "chunk", "line_no", F.transform("_waiting", lambda w: w["comment"]).alias("comments"))
     )
 
 

@@ -15,7 +15,8 @@ from ..schema import ORDER_KEY, section_rank
 
 MAX_RULE_LENGTH = 4000
 
-TEXT_ORDER = ["part", *ORDER_KEY, "sub"]
+#: Comments stand before their rule, in their own order.
+TEXT_ORDER = ["part", *ORDER_KEY, "is_rule", "c_chunk", "c_line"]
 
 
 #: What an edition needs of a rule, and what counts over one need.
@@ -47,14 +48,12 @@ def order_edition(rules: DataFrame) -> DataFrame:
 def edition_rules(
     lines: DataFrame, lite: bool = False, max_rule_length: int = MAX_RULE_LENGTH
 ) -> DataFrame:
-    """Rules of an edition with comments and rank, in no order.
+    """Rules of an edition with their rank, in no order and without comments.
 
     The lite edition is a merge of its own: filtering the full one would miss
     rules that a source outside the lite set had removed.
     """
-    if lite:
-        lines = lines.filter("lite")
-    merged = attach_comments(merge_rules(parse_rules(lines), max_rule_length), lines)
+    merged = merge_rules(parse_rules(lines.filter("lite") if lite else lines), max_rule_length)
     return merged.withColumn("section_rank", section_rank(F.col("rule_type")))
 
 
@@ -62,7 +61,8 @@ def build_edition(
     lines: DataFrame, lite: bool = False, max_rule_length: int = MAX_RULE_LENGTH
 ) -> DataFrame:
     """Edition of all sources, or of the lite ones, as ordered rules with comments."""
-    return edition_rules(lines, lite, max_rule_length).orderBy("section_rank", *ORDER_KEY)
+    chosen = lines.filter("lite") if lite else lines
+    return attach_comments(edition_rules(lines, lite, max_rule_length), chosen).orderBy("section_rank", *ORDER_KEY)
 
 
 def stamp_text(at: datetime) -> str:
@@ -72,6 +72,7 @@ def stamp_text(at: datetime) -> str:
 
 def edition_text(
     edition: DataFrame,
+    comments: DataFrame,
     summary: DataFrame,
     at: datetime,
     title: str = "Merged filter list",
@@ -80,44 +81,38 @@ def edition_text(
 ) -> DataFrame:
     """Text lines of an edition in order; ``text`` is what gets written.
 
-    ``summary``: source, rule_count, priority, source_ord.
+    ``edition``: rules with ``section_rank``. ``comments``: ``comment_rows`` of
+    its lines; those of rules that are gone are left out. ``summary``: source,
+    rule_count, priority, source_ord.
     """
     none = F.lit(None)
 
-    def row(part: int | Column, text: Column, sub: int | Column = 0) -> list[Column]:
-        key = [none.cast("int"), none.cast("int"), none.cast("bigint"), none.cast("bigint")]
+    def row(part: int | Column, text: Column, c_line: Column = none) -> list[Column]:
+        key = {"priority": "int", "source_ord": "int", "chunk": "bigint", "line_no": "bigint"}
         return [
             (F.lit(part) if isinstance(part, int) else part).cast("int").alias("part"),
-            *[c.alias(n) for c, n in zip(key, ORDER_KEY)],
-            (F.lit(sub) if isinstance(sub, int) else sub).cast("int").alias("sub"),
+            *[none.cast(kind).alias(n) for n, kind in key.items()],
+            F.lit(0).alias("is_rule"), none.cast("bigint").alias("c_chunk"), c_line.cast("bigint").alias("c_line"),
             text.alias("text"),
         ]
 
     stamp = stamp_text(at)
+    texts = {"title": title, "description": description, "homepage": homepage, "stamp": stamp}
     head = [
-        F.lit("[AdBlock Plus 2.0]"),
-        F.lit(f"! Title: {title}"),
-        F.lit(f"! Description: {description}"),
-        F.lit(f"! Homepage: {homepage}"),
-        F.lit("! Expires: 20 minutes"),
-        F.lit(f"! Version: {stamp}"),
-        F.lit(f"{fixed.STAMP_PREFIX} {stamp}"),
-        F.format_string("! Total rules: %d", "total_rules"),
-        F.format_string("!   Exception rules: %d", "exception_rules"),
-        F.format_string("!   Block rules: %d", "block_rules"),
-        F.format_string("!   Hide rules: %d", "hide_rules"),
-        F.lit("! Sources:"),
+        *[F.lit(t.format(**texts)) for t in fixed.PREAMBLE],
+        *[F.format_string(t, n) for n, t in fixed.PREAMBLE_COUNTS.items()],
+        F.lit(fixed.PREAMBLE_SOURCES),
     ]
     preamble = (
         edition_stats(edition)
-        .select(F.posexplode(F.array(*head)).alias("sub", "text"))
-        .select(*row(0, F.col("text"), F.col("sub")))
+        .select(F.posexplode(F.array(*head)).alias("at", "text"))
+        .select(*row(0, F.col("text"), F.col("at")))
     )
     listed = summary.select(
-        F.lit(1).alias("part"), "priority", "source_ord",
+        *[c.cast("int").alias(n) for n, c in (("part", F.lit(1)), ("priority", F.col("priority")), ("source_ord", F.col("source_ord")))],
         none.cast("bigint").alias("chunk"), none.cast("bigint").alias("line_no"),
-        F.lit(0).alias("sub"),
-        F.format_string("!   %s: %d rules (priority %d)", "source", "rule_count", "priority").alias("text"),
+        F.lit(0).alias("is_rule"), none.cast("bigint").alias("c_chunk"), none.cast("bigint").alias("c_line"),
+        F.format_string(fixed.PREAMBLE_SOURCE, "source", "rule_count", "priority").alias("text"),
     )
     closing = edition.sparkSession.range(1).select(*row(2, F.lit("!")))
 
@@ -136,14 +131,17 @@ def edition_text(
         .select("m.*").distinct()
         .select(*row(F.col("part"), F.col("text")))
     )
-    body = edition.select(
-        F.element_at(F.array(*[F.lit(p) for p in (10, 21, 31, 42, 43)]), rank + 1).alias("part"),
-        *ORDER_KEY,
-        F.posexplode(F.concat("comments", F.array("raw"))).alias("sub", "text"),
+    part = F.element_at(F.array(*[F.lit(p) for p in (10, 21, 31, 42, 43)]), rank + 1).alias("part")
+    rules = edition.select(
+        part, *ORDER_KEY, F.lit(1).alias("is_rule"), none.cast("bigint").alias("c_chunk"), none.cast("bigint").alias("c_line"),
+        F.col("raw").alias("text"),
+    )
+    waiting = edition.select(part, "source", *ORDER_KEY).join(comments, ["source", "chunk", "line_no"]).select(
+        "part", *ORDER_KEY, F.lit(0).alias("is_rule"), "c_chunk", "c_line", F.col("comment").alias("text"),
     )
     return (
         preamble.unionByName(listed).unionByName(closing)
-        .unionByName(markers).unionByName(body.select(*TEXT_ORDER, "text"))
+        .unionByName(markers).unionByName(rules).unionByName(waiting)
         .orderBy(*TEXT_ORDER)
     )
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.history import run_deltas
-from ..operators.parse import attach_comments, parse_rules
+from ..operators.parse import comment_rows, parse_rules
 from ..operators.refresh import changed_count, detect_changes, source_status, upsert_state
 from ..operators.stats import edition_stats, parsed_counts
 from ..plans.editions import edition_text, merge_rules, publish
@@ -119,12 +119,13 @@ def _apply(spark, files, batch, in_dir, registry, root, out) -> bool:
     summary = spark.read.parquet(f"{root}/status/batch={batch}").join(
         sources.select(F.col("name").alias("source"), "source_ord", "lite"), "source")
     at = datetime.now(timezone.utc)
+    comments = stage(comment_rows(lines), "comments")
     done, totals = False, []
     for name in EDITIONS:
         chosen = F.col("lite") if name == "lite" else F.lit(True)
-        merged = attach_comments(merge_rules(rules.filter(chosen)), lines.filter(chosen))
+        merged = merge_rules(rules.filter(chosen))
         edition = stage(merged.withColumn("section_rank", section_rank(F.col("rule_type"))), "edition")
-        text = edition_text(edition, summary.filter(chosen), at)
+        text = edition_text(edition, comments, summary.filter(chosen), at)
         if publish(edition, text, f"{out}/{name}", f"{batch:010d}"):
             done = True
             totals.append(edition_stats(edition).select(F.lit(name).alias("edition"), F.lit(at).alias("run_ts"), "total_rules", F.lit(batch).cast("bigint").alias("batch")))

@@ -6,7 +6,7 @@ import pytest
 
 from rulemill import fixed
 from rulemill.operators import history, refresh, stats
-from rulemill.operators.parse import parse_rules, type_rules
+from rulemill.operators.parse import comment_rows, parse_rules, type_rules
 from rulemill.plans import editions
 from rulemill.sources import lists, registry
 from rulemill.streaming.refresh import refresh as run_refresh
@@ -184,7 +184,7 @@ def test_published_text_reads_back(spark, make_lines, tmp_path):
     lines = make_lines({"s": (1, LIST)})
     edition = editions.build_edition(lines)
     summary = type_rules(lines).groupBy("source", "priority", "source_ord").count().withColumnRenamed("count", "rule_count")
-    text = editions.edition_text(edition, summary, datetime(2024, 1, 1, 20, 0))
+    text = editions.edition_text(edition, comment_rows(lines), summary, datetime(2024, 1, 1, 20, 0))
     out = tmp_path / "out"
     assert editions.publish(edition, text, str(out), "0001")
     version = editions.published_version(spark, str(out))
