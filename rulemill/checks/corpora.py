@@ -97,6 +97,9 @@ SYNTAX_TEXT = [
     "'@@||', host, '^$,'",
     "'||www.', host, path, '^'",
     "'||x.www.', host, '/a/', n, '^'",
+    "'||', host, '^$replace=/one(, two)?/three/i,media'",
+    "'||', host, '^$removeparam=/p,q/,font'",
+    "'||', host, '^$replace=/a', char(92), '/b,c/d/,ping'",
 ]
 
 

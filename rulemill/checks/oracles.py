@@ -92,7 +92,12 @@ SYNTAX_TEXT = [
     "'@@||' || host || '^$,'",
     "'||www.' || host || path || '^'",
     "'||x.www.' || host || '/a/' || n || '^'",
+    "'||' || host || '^$replace=/one(, two)?/three/i,media'",
+    "'||' || host || '^$removeparam=/p,q/,font'",
+    r"'||' || host || '^$replace=/a\/b,c/d/,ping'",
 ]
+#: Options with commas inside a regular expression, as the parts they were made of.
+REGEX_OPTIONS = [["replace=/one(, two)?/three/i", "media"], ["removeparam=/p,q/", "font"], [r"replace=/a\/b,c/d/", "ping"]]
 N = len(SYNTAX_TEXT)
 
 RULE_LINES = f"""
@@ -162,7 +167,8 @@ typed AS (
          CASE WHEN kind = 'rule' AND sep0 = '' AND contains(text, '$') THEN {after('text', "'$'")} END AS opts
   FROM emitted),
 tokens AS (
-  SELECT *, CASE WHEN opts IS NULL THEN NULL ELSE regexp_extract_all(opts, '(?:\\\\,|[^,])+') END AS toks
+  SELECT *, CASE {" ".join(f"WHEN opts = {q(','.join(o))} THEN [{', '.join(map(q, o))}]" for o in REGEX_OPTIONS)}
+    WHEN opts IS NULL THEN NULL ELSE regexp_extract_all(opts, '(?:\\\\,|[^,])+') END AS toks
   FROM typed),
 checked AS (
   SELECT *, opts = '' OR len([o FOR o IN toks IF {OPTION_OK}]) > 0 AS valid FROM tokens),
