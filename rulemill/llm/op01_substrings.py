@@ -117,18 +117,28 @@ def _piece_texts(window: int):
     """The texts of the wanted pieces of each row."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("copies", pa.int64()), ("hot", pa.bool_()), ("h", pa.int64()), ("place", pa.int64()), ("piece", pa.binary())])
+        names = ["key", "digest", "copies", "hot"]
         for batch in batches:
-            for i in range(batch.num_rows):
-                text, c = batch.column("text")[i].as_buffer(), batch.column("c")[i].as_py()
-                rows = [w for w in batch.column("wanted")[i].as_py() if w["place"] & 0xFFFFF == c]
-                if rows:
-                    h = batch.column("h")[i].as_py()
-                    view = memoryview(text)
-                    spans = [(w["place"] >> 32, (w["place"] >> 20 & 0xFFF) + window - 1) for w in rows]
-                    columns = [[w[x] for w in rows] for x in ("key", "digest", "copies", "hot")]
-                    columns += [[h] * len(rows), [w["place"] for w in rows], [bytes(view[a:a + n]) for a, n in spans]]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+            wanted = batch.column("wanted")
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
+            asked = pa.RecordBatch.from_struct_array(wanted.flatten())
+            place = asked.column("place").to_numpy()
+            # Rows that share a hash, not a text, are told apart by the check.
+            right = np.flatnonzero((place & 0xFFFFF) == batch.column("c").to_numpy()[rows])
+            rows, place, asked = rows[right], place[right], asked.take(pa.array(right))
+            text = batch.column("text").cast(pa.large_binary())
+            _, where, content = text.buffers()
+            begins = np.frombuffer(where, np.int64)[text.offset + rows] + (place >> 32)
+            ends = begins + (place >> 20 & 0xFFF) + window - 1
+            view = memoryview(content)
+            for lo in range(0, len(rows), 8192):
+                some = slice(lo, lo + 8192)
+                pieces = pa.array([view[a:b].tobytes() for a, b in zip(begins[some].tolist(), ends[some].tolist())], pa.binary())
+                kept = asked.slice(lo, 8192)
+                yield pa.RecordBatch.from_arrays(
+                    [*(kept.column(n) for n in names), pa.array(batch.column("h").to_numpy()[rows[some]]), kept.column("place"), pieces],
+                    names=[*names, "h", "place", "piece"],
+                )
 
     return texts
 
@@ -200,15 +210,19 @@ def _remove(window: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
+            marks = batch.column("marks")
+            offsets = marks.offsets.to_numpy()
+            flat = pa.RecordBatch.from_struct_array(marks.values)
+            first, last, check = (flat.column(n).to_numpy() for n in ("first", "last", "c"))
             lengths, removed, digests = [], [], []
-            for text, c, marks in zip(batch.column("text"), batch.column("c").to_pylist(), batch.column("marks").to_pylist()):
-                data = text.as_buffer().to_pybytes() if text.is_valid else b""
-                spans: list[list[int]] = []
-                for first, last in sorted((m["first"], m["last"]) for m in marks or () if m["c"] == c):
-                    if spans and first <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], last + window)
-                    else:
-                        spans.append([first, last + window])
+            for i, (text, c) in enumerate(zip(batch.column("text"), batch.column("c").to_pylist())):
+                data = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+                lo, hi = (offsets[i], offsets[i + 1]) if marks[i].is_valid else (0, 0)
+                begin, end = (x[lo:hi][check[lo:hi] == c] for x in (first, last))
+                order = np.argsort(begin, kind="stable")
+                begin, reach = begin[order], np.maximum.accumulate(end[order] + window)
+                new = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]])) if len(begin) else np.zeros(0, np.int64)
+                spans = list(zip(begin[new].tolist(), reach[np.append(new[1:], len(begin)) - 1].tolist())) if len(begin) else []
                 kept, at = hashlib.sha256(), 0
                 for a, b in spans:
                     kept.update(data[at:a])
@@ -247,7 +261,7 @@ def repeated_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
         distinct.join(mixed, "key").groupBy("h")
         .agg(F.collect_list(F.struct("key", "digest", "copies", "hot", "place")).alias("wanted"))
     )
-    shown = texts.join(wanted, "h").mapInArrow(_piece_texts(window), PIECE_TEXTS)
+    shown = stage(texts.join(wanted, "h").mapInArrow(_piece_texts(window), PIECE_TEXTS), "piece-texts")
     from_index = (
         shown.filter(~F.col("hot")).select("key", "copies", "h", "place", "piece")
         .repartition("key").sortWithinPartitions("key")

@@ -27,26 +27,29 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for i in range(_FIRST):
         key = key << 9 | padded[i:i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    # A suffix's rank is the place where its group of equals begins.
+    heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rank = np.empty(n, np.int64)
+    rank[order] = heads
+    places = np.flatnonzero(~new | np.append(~new[1:], False))
     width = _FIRST
-    while True:
-        ordered = key[order]
-        rank_of = np.empty(n, np.int64)
-        rank_of[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-        if rank_of[order[-1]] == n - 1 or width >= n:
-            return order
-        # Only suffixes whose rank is shared are sorted again.
-        following = np.zeros(n, np.int64)
-        following[:n - width] = rank_of[width:] + 1
-        key = rank_of * (n + 1) + following
-        shared = np.zeros(n, bool)
-        same = ordered[1:] == ordered[:-1]
-        shared[1:] |= same
-        shared[:-1] |= same
-        places = np.flatnonzero(shared)
+    while len(places) and width < n:
+        # Only groups of more than one are sorted, by what follows their common prefix.
         some = order[places]
-        order[places] = some[np.argsort(key[some], kind="stable")]
+        beyond = some + width
+        following = np.where(beyond < n, rank[np.minimum(beyond, n - 1)] + 1, 0)
+        key = rank[some] * (n + 1) + following
+        by_key = np.argsort(key)
+        some, key = some[by_key], key[by_key]
+        order[places] = some
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[some] = np.maximum.accumulate(np.where(new, places, 0))
+        places = places[~new | np.append(~new[1:], False)]
         width *= 2
+    return order
 
 
 def match_lengths(symbols: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
