@@ -70,6 +70,25 @@ def test_units(documents):
     assert list(op10_lines.units("a b\n\nc d", "paragraph", 2)) == [(0, 3, "a b"), (5, 8, "c d")]
 
 
+def test_short_units(documents):
+    wrapped = [" ".join(VOCABULARY[i:i + 12]) for i in range(0, 60, 12)]
+    rows = [(1, "\n".join([*wrapped, "own"])), (2, "\n".join(["other", *wrapped])), (3, "one two\n\n \nOther "), (4, "one  two\n\n \none two"), (5, "\n\n")]
+    seen, want = set(), []
+    for doc, text in rows:
+        start = 0
+        for line in text.split("\n"):
+            normal = " ".join(line.lower().split())
+            if normal in seen:
+                want.append((doc, start, start + len(line)))
+            elif normal:
+                seen.add(normal)
+            start += len(line) + 1
+    found = op10_lines.repeated_units(documents(rows))
+    assert sorted((r.doc_id, r.start, r.end) for r in found.collect()) == want and len(want) == 8
+    cut = {r.doc_id: r.text for r in op10_lines.remove_units(documents(rows), found).collect()}
+    assert cut[2] == "other\n" and cut[3] == "one two\n\n \n" and cut[4] == "\n \n" and cut[5] == "\n\n"
+
+
 def smallest_reachable(nodes, pairs):
     root = {n: n for n in nodes}
     changed = True
