@@ -104,6 +104,21 @@ def test_templates(spark, documents):
     assert op03_templates.contamination(documents(rows), items.limit(0)).collect() == []
 
 
+def found_items(spark, documents, items, rows):
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in op03_templates.contamination(documents(rows), table).collect()}
+
+
+def test_templates_slot_dense(spark, documents):
+    items = ["Alice bought 3 kg and Bob bought 5 kg", "Compute 12 + 34 * 56 - 78 / 9"]
+    got = found_items(spark, documents, items, [
+        (1, f"xx yy. {items[0]}. zz"), (2, f"here: {items[1]} and more"), (3, "We saw that Carol bought 7 kg and Dan bought 2 kg there."),
+        (4, "table 12 35 56 79 9 10 11"), (5, "Alice sold 3 kg"),
+    ])
+    assert set(got) == {(1, 0), (2, 1), (3, 0)}
+    assert not got[1, 0].reparameterised and got[3, 0].reparameterised and got[3, 0].consistent and got[3, 0].cover == 1
+
+
 def test_toxicity_accuracy(spark, documents, rng):
     slurs = ["vilezor", "vilemak", "drosk"]
     rows, toxic = [], {}
