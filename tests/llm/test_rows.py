@@ -119,6 +119,16 @@ def test_templates_slot_dense(spark, documents):
     assert not got[1, 0].reparameterised and got[3, 0].reparameterised and got[3, 0].consistent and got[3, 0].cover == 1
 
 
+def test_templates_sentence_names(spark, documents):
+    items = ["Tom has 5 apples. Tom gives 2 to Ann. How many apples does Tom have?"]
+    got = found_items(spark, documents, items, [
+        (1, "Bob has 7 apples. Bob gives 3 to Sue. How many apples does Bob have?"), (2, "we ask: if Bob has 7 apples\nBob gives 3 to Sue. How many apples does Bob have?"),
+        (3, "so Tom has 5 apples. Tom gives 2 to Ann. how many apples does Tom have?"), (4, "Bob has 7 pears. Sue eats 3 of Tom. How many pears are there?"),
+    ])
+    assert {k[0] for k in got} == {1, 2, 3}
+    assert got[1, 0].covered_words == 15 and got[1, 0].consistent and got[1, 0].reparameterised
+
+
 def test_toxicity_accuracy(spark, documents, rng):
     slurs = ["vilezor", "vilemak", "drosk"]
     rows, toxic = [], {}
