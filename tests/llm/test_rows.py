@@ -129,6 +129,19 @@ def test_templates_sentence_names(spark, documents):
     assert got[1, 0].covered_words == 15 and got[1, 0].consistent and got[1, 0].reparameterised
 
 
+def test_templates_shifted(spark, documents, rng):
+    order = rng.sample(VOCABULARY, 24)
+    plain = " ".join(order)
+    named = "yesterday Bob went from Paris to the river and then saw that Bob had lost the keys"
+    inserted, dropped, changed = (" ".join([*order[:12], *x]) for x in (["new", *order[12:]], order[13:], ["new", *order[13:]]))
+    got = found_items(spark, documents, [plain, named], [
+        (1, f"aa {inserted} bb"), (2, dropped), (3, changed), (4, "yesterday Ann Lee Smith went from New York to the river and then saw that Ann Lee Smith had lost the keys"),
+        (5, " ".join(order[:9])), (6, " ".join(order[:9] + ["zz"] * 5)),
+    ])
+    assert {k: r.covered_words for k, r in got.items()} == {(1, 0): 24, (2, 0): 23, (3, 0): 23, (4, 1): 17}
+    assert got[4, 1].consistent and got[4, 1].reparameterised
+
+
 def test_toxicity_accuracy(spark, documents, rng):
     slurs = ["vilezor", "vilemak", "drosk"]
     rows, toxic = [], {}
