@@ -142,6 +142,15 @@ def test_templates_shifted(spark, documents, rng):
     assert got[4, 1].consistent and got[4, 1].reparameterised
 
 
+def test_templates_short_items(spark, documents):
+    items = ["Who painted Guernica?", "guernica", "Is 7 odd?"]
+    got = found_items(spark, documents, items, [
+        (1, "Then we ask: who painted Guernica? Some say otherwise, in a long text."), (2, "First of all, tell me who painted Guernica and when"),
+        (3, "who painted the house"), (4, "Now is 9 odd? It is."),
+    ])
+    assert set(got) == {(1, 0), (1, 1), (2, 0), (2, 1), (4, 2)}
+
+
 def test_toxicity_accuracy(spark, documents, rng):
     slurs = ["vilezor", "vilemak", "drosk"]
     rows, toxic = [], {}
