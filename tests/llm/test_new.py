@@ -2,11 +2,13 @@
 
 import hashlib
 import math
+import re
+import zlib
 
 import numpy as np
 import pytest
 
-from rulemill.llm import op13_cover_tree
+from rulemill.llm import op11_variants, op13_cover_tree
 
 
 def brute_codes(rows, parts=4, entries=256, rounds=4):
@@ -92,3 +94,77 @@ def test_large_components_stay_exact():
 @pytest.mark.parametrize("rows", [[], [(1, None, 1), (2, [], None), (3, [1.0], 1)]])
 def test_no_vector_left(spark, rows):
     assert op13_cover_tree.compress(vectors_of(spark, rows)).collect() == []
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    a, b = sorted((a, b), key=len)
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[i + (len(a) == len(b)):] == b[i + 1:]
+
+
+def brute_variants(rows, least=7, ratio=10):
+    n = {}
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = "".join(c.lower() if c < "\x80" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] = n.get(run, 0) + 1
+    n = {w: k for w, k in n.items() if len(w) >= least and k >= 2}
+    near = {w: [v for v in n if one_edit(w, v)] for w in n}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return sorted((w, n[w], len(near[w]), form[w], n.get(form[w]), root(w)) for w in n)
+
+
+def variants(spark, documents, rows, **options):
+    got = op11_variants.spelling_variants(documents(rows).repartition(3), **options)
+    return sorted(map(tuple, got.select("word", "n", "n_near", "form", "form_n", "root").collect()))
+
+
+@pytest.mark.parametrize("list_words", [3, 4096])
+def test_variants_equal_brute_force(spark, documents, rng, list_words):
+    stems = ["".join(rng.choice("abé") for _ in range(rng.randint(6, 11))) for _ in range(40)] + ["aaaaaaa" + "b" * k for k in range(6)]
+    rows = []
+    for i in range(60):
+        run = []
+        for _ in range(60):
+            w = rng.choice(stems[:3]) if rng.random() < 0.4 else rng.choice(stems)
+            if rng.random() < 0.3:
+                p, kind = rng.randint(0, len(w)), rng.randint(0, 2)
+                w = w[:p] + ("" if kind == 0 else rng.choice("abcÿ")) + w[p + (kind != 1):]
+            run.append(w.upper() if rng.random() < 0.1 else w)
+        rows.append((i // 2, rng.choice([" ", "-", "1", "\n", "漢"]).join(run)))
+    rows += [(None, rows[0][1]), rows[1], (7, None), (8, ""), (9, "É"), (10, "a" * 50_000 + " " + "a" * 50_001), (11, "a" * 50_000 + " " + "a" * 50_001)]
+    assert variants(spark, documents, rows, list_words=list_words) == brute_variants(rows)
+
+
+def test_roots_follow_forms_to_the_last(spark, documents):
+    chain = [("abcdefg", 3600), ("abcdefgh", 240), ("abcdefghi", 15)]
+    rows = [(i, " ".join(w for w, k in chain if i < k)) for i in range(3600)]
+    got = variants(spark, documents, rows)
+    assert got == brute_variants(rows)
+    assert {r[0]: r[5] for r in got}["abcdefghi"] == "abcdefg"
+
+
+def test_no_words(spark, documents):
+    assert variants(spark, documents, []) == [] == variants(spark, documents, [(1, None), (2, "short"), (3, "onlyonce")])
+
+
+def test_scan_skips_ranges():
+    """Rows of the edit matrix go to prefixes, not to pairs."""
+    texts = sorted(a + b + c for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh")
+    letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    query, word, shared = op11_variants.near_in_lists(letters, np.arange(0, 3 * len(texts) + 1, 3), np.zeros(len(texts), int))
+    got = {(texts[q], texts[w], s) for q, w, s in zip(query, word, shared)}
+    want = {(a, b, next(i for i in range(3) if a[i] != b[i])) for a in texts for b in texts if one_edit(a, b)}
+    assert got == want and len(query) == len(want)
