@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import op01_substrings, op02_toxicity, op03_templates, op04_dac, op05_licenses, op06_forest, op07_language, op08_minhash, op09_mixing, op10_lines, op11_variants, op13_cover_tree
+from . import op01_substrings, op02_toxicity, op03_templates, op04_dac, op05_licenses, op06_forest, op07_language, op08_minhash, op09_mixing, op10_lines, op11_variants, op12_disclosure, op13_cover_tree
 
 
 def _table(spark, sf_dir, name):
@@ -56,6 +56,10 @@ def op11_variants_query(spark, sf_dir):
     return op11_variants.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_disclosure_query(spark, sf_dir):
+    return op12_disclosure.digests(op12_disclosure.personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op13_cover_tree_query(spark, sf_dir):
     return op13_cover_tree.compress(_table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_lines": op10_lines_query,
     "op11_variants": op11_variants_query,
+    "op12_disclosure": op12_disclosure_query,
     "op13_cover_tree": op13_cover_tree_query,
     "pipeline": corpus_pipeline.run,
 }

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from rulemill.llm import op11_variants, op13_cover_tree
+from rulemill.llm import op11_variants, op12_disclosure, op13_cover_tree
 
 
 def brute_codes(rows, parts=4, entries=256, rounds=4):
@@ -168,3 +168,139 @@ def test_scan_skips_ranges():
     got = {(texts[q], texts[w], s) for q, w, s in zip(query, word, shared)}
     want = {(a, b, next(i for i in range(3) if a[i] != b[i])) for a in texts for b in texts if one_edit(a, b)}
     assert got == want and len(query) == len(want)
+
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"
+
+
+def luhn(digits):
+    return sum(d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def brute_base(text):
+    found = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 13 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((kind, m.start(), m.end(), m[0]))
+    return found
+
+
+def lowered(text):
+    return "".join(c.lower() if c < "\x80" else c for c in text)
+
+
+def brute_personal(rows):
+    """Spans of each row, by the definitions."""
+    kinds = list(op12_disclosure.KINDS)
+    together, mentions, counts = {}, {}, {}
+    for _, text in rows:
+        text = text or ""
+        for w in re.findall(TERM + "{3,}", lowered(text)):
+            counts[w] = counts.get(w, 0) + 1
+        spans = brute_base(text)
+        for kind in PLAIN:
+            # Contexts end at the same kind's neighbouring matches, valid or not.
+            every = [m.span() for m in re.finditer(PLAIN[kind], text)]
+            for _, start, end, value in (s for s in spans if s[0] == kind):
+                i = every.index((start, end))
+                before = text[(every[i - 1][1] if i else 0):start]
+                after = text[end:(every[i + 1][0] if i + 1 < len(every) else len(text))]
+                if len(before) >= 100:
+                    before = re.sub("^" + TERM + "+", "", before[-100:])
+                if len(after) >= 100:
+                    after = re.sub(TERM + "+$", "", after[:100])
+                name = re.sub("[^0-9]", "", value) if kind in ("card", "phone") else lowered(value)
+                e = (kind, name)
+                mentions[e] = mentions.get(e, 0) + 1
+                near = re.findall(TERM + "{3,}", lowered(before))[-5:] + re.findall(TERM + "{3,}", lowered(after))[:5]
+                for t in set(near):
+                    together[t, e] = together.get((t, e), 0) + 1
+    total, share = sum(counts.values()), {}
+    for (t, e), n in together.items():
+        if n >= 3 and mentions[e] < total:
+            part = math.log(min(n, counts[t]) * total / (counts[t] * mentions[e])) / math.log(total / mentions[e])
+            if part >= op12_disclosure.DISCLOSE:
+                share[t] = max(share.get(t, (0, 0)), (part, -kinds.index(e[0])))
+    result = []
+    for doc_id, text in rows:
+        base = brute_base(text)
+        terms = [("term", m.start(), m.end()) for m in re.finditer(TERM + "+", lowered(text or "")) if m[0] in share]
+        terms = [t for t in terms if not any(s[1] < t[2] and t[1] < s[2] for s in base)]
+        listed = [f"{k}:{a}:{b}" for k, a, b, *_ in sorted(base + terms, key=lambda s: (kinds.index(s[0]), s[1]))]
+        n = [sum(s[0] == k for s in base) for k in PLAIN]
+        digest = hashlib.sha256(",".join(x for x in listed if not x.startswith("term")).encode()).hexdigest()
+        result.append((doc_id, *n, digest, ",".join(listed)))
+    return sorted(result, key=repr), share
+
+
+def personal(spark, documents, rows):
+    docs = documents(rows).repartition(3)
+    found = op12_disclosure.personal_data(docs)
+    return docs, found, sorted(map(tuple, op12_disclosure.digests(found).collect()), key=repr)
+
+
+def test_patterns_equal_the_plain_ones(spark, documents, rng):
+    rows = []
+    for i in range(400):
+        alphabet = rng.choice(["a.@_%é -", "12.56 ", "0123456789 -", "+12 ().-x", "a1@.-+ 😀\n_"])
+        rows.append((i, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))))
+    rows += [(1000, "_a@b.c_d@e.f.g_h@i"), (1001, "4111 1111-1111 1111 x 4111111111111112"), (1002, "1.2.3.4.5.6.7.8 256.1.1.1 001.0000255.0.0"), (1003, "+1 (523) 555-1055. +1-2")]
+    rows += [(1004, "7" * 3000), (1005, "a" * 3000 + "@"), (1006, "x@" + "b." * 3000), (1007, "1 " * 3000), (1008, None), (1008, None), (None, "a@b.c"), (1009, "q@r.st " * 300)]
+    got = personal(spark, documents, rows)[2]
+    want = brute_personal(rows)[0]
+    assert [r[:6] for r in got] == [r[:6] for r in want]
+
+
+def test_patterns_take_linear_time(spark, documents):
+    n = 300_000
+    rows = [(1, "7" * n), (2, "a" * n + "@"), (3, "x@" + "b." * n), (4, "1 " * n), (5, "+1" + " " * n), (6, "a@b.c " * 20_000)]
+    got = {r[0]: r[1:5] for r in personal(spark, documents, rows)[2]}
+    assert got == {1: (0, 0, 0, 0), 2: (0, 0, 0, 0), 3: (1, 0, 0, 0), 4: (0, 0, 0, 0), 5: (0, 0, 0, 0), 6: (20_000, 0, 0, 0)}
+
+
+def test_disclosing_terms_equal_brute_force(spark, documents, rng):
+    common = ["the", "and", "for", "with", "from", "into", "über", "haus"]
+    prose = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [(i, prose(80)) for i in range(30)]
+    rows += [(100 + i, f"{prose(20)} Zaphod writes from Za.phod@mail.example.com, {prose(3)} Trillian {prose(30)}") for i in range(6)]
+    rows += [(200 + i, f"{prose(20)} Marvin +1 (523) 555-1055 {prose(40)} {'Marvin' * (i == 0)}") for i in range(4)]
+    rows += [(300, f"ZAPHOD's, xZaphod {prose(10)}"), (301, "only once 10.0.0.1 unique"), (302, None), (303, ""), rows[31], (None, rows[32][1])]
+    docs, found, got = personal(spark, documents, rows)
+    want, share = brute_personal(rows)
+    assert got == want
+    assert "zaphod" in share and "unique" not in share and "the" not in share
+    texts = {r.doc_id: r.text for r in op12_disclosure.sanitised(docs, found).collect()}
+    assert texts[302] is None and texts[303] == "" and texts[0] == rows[0][1]
+    assert "@" not in texts[100] and "aphod" not in texts[100] and "[email]" in texts[100] and "xZaphod" in texts[300]
+    assert "555" not in texts[201] and "[phone]" in texts[201]
+
+
+def test_sanitised_text_with_many_and_overlapping_spans(spark, documents):
+    text = "+1 4111 1111 1111 1111, a@b.c " * 500 + "tail"
+    docs, found, _ = personal(spark, documents, [(1, text), (2, "none")])
+    got = {r.doc_id: r.text for r in op12_disclosure.sanitised(docs, found).collect()}
+    covered = np.zeros(len(text), bool)
+    for _, start, end, _ in brute_base(text):
+        covered[start:end] = True
+    left = "".join(c for c, gone in zip(text, covered) if not gone)
+    assert re.sub(r"\[[a-z]+\]", "", got[1]) == left and got[2] == "none"
+
+
+def test_nothing_personal(spark, documents):
+    assert personal(spark, documents, [])[2] == []
+
+
+def test_disclosure_runs_no_python(spark, documents):
+    found = op12_disclosure.digests(op12_disclosure.personal_data(documents([(1, "a@b.c")] * 4)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
