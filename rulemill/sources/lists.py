@@ -11,6 +11,8 @@ so the table of lines is written once and every step reads that.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed
@@ -76,35 +78,52 @@ def newest_files(files: DataFrame) -> DataFrame:
     )
 
 
+def _opened(chosen: DataFrame) -> list[str]:
+    """Paths of the chosen files as readers take them: at most one per source.
+
+    File paths come URI-encoded, and readers expand wildcards in what they get.
+    """
+    wild = str.maketrans({c: "\\" + c for c in "{}[]*?\\"})
+    return [unquote(r.path).translate(wild) for r in chosen.select("path").collect()]
+
+
+def _read_chosen(spark: SparkSession, path: str, chosen: DataFrame, kind: str, schema: T.StructType) -> DataFrame:
+    """Rows of the chosen files alone; no other landed file is listed or opened."""
+    paths = _opened(chosen)
+    if not paths:
+        return spark.createDataFrame([], schema).withColumn("path", F.lit("")).withColumn("chunk", F.lit(0).cast("bigint"))
+    return (
+        spark.read.format(kind).schema(schema).option("basePath", path).load(paths)
+        .select("*", F.col("_metadata.file_path").alias("path_"), F.col("_metadata.file_block_start").alias("chunk"))
+        .drop("path").withColumnRenamed("path_", "path")
+    )
+
+
 def file_lines(spark: SparkSession, path: str, chosen: DataFrame) -> DataFrame:
     """Lines of the chosen (path) files: run_id, source, chunk, line_no, line.
 
+    Only those files are opened: their paths, one per source, are given to the
+    reader, so a refresh costs the same however long the landing history is.
+
     A byte-order mark at the start of a file is no part of its first line. A
     line of the reader can still hold separators other than CR and LF, so it is
     cut again before numbering.
     """
-    return (
-        spark.read.schema(_TEXT).text(path)
-        .select("value", "run_id", "source", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("chunk"))
-        .join(chosen.select("path"), "path", "left_semi")
-        .select("run_id", "source", "chunk", F.explode(F.split(F.make_valid_utf8("value"), fixed.PAT_LINES)).alias("line"))
-    )
+    return _read_chosen(spark, path, chosen, "text", _TEXT).select(
+        "run_id", "source", "chunk", F.explode(F.split(F.make_valid_utf8("value"), fixed.PAT_LINES)).alias("line"))
 
 
 def read_lists(spark: SparkSession, path: str, sources: DataFrame) -> DataFrame:
     """Newest snapshots with their whole text, one row per source."""
     newest = newest_files(list_files(spark, path))
-    files = (
-        spark.read.format("binaryFile").schema(SNAPSHOT_FILES).load(path)
-        .select("content", F.col("_metadata.file_path").alias("path"))
-        .join(newest, "path")
-    )
-    return with_source(files, sources).withColumn("text", decode(F.col("content")))
+    known = stage(with_source(newest, sources), "chosen")
+    files = _read_chosen(spark, path, known, "binaryFile", SNAPSHOT_FILES).select("content", "path").join(known, "path")
+    return files.withColumn("text", decode(F.col("content")))
 
 
 def read_lines(spark: SparkSession, path: str, sources: DataFrame) -> DataFrame:
     """Numbered lines of each enabled source's newest snapshot."""
-    chosen = with_source(newest_files(list_files(spark, path)), sources)
+    chosen = stage(with_source(newest_files(list_files(spark, path)), sources), "chosen")
     lines = numbered(file_lines(spark, path, chosen))
     keep = ["run_id", *SOURCE_COLS, "lite", "chunk", "line_no", "line"]
     return with_source(stage(lines, "lines"), sources).select(*keep)
