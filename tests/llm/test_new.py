@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from rulemill.llm import op11_variants, op12_disclosure, op13_cover_tree
+from rulemill.llm import op10_lines, op11_variants, op12_disclosure, op13_cover_tree
 
 
 def brute_codes(rows, parts=4, entries=256, rounds=4):
@@ -304,3 +304,32 @@ def test_disclosure_runs_no_python(spark, documents):
     found = op12_disclosure.digests(op12_disclosure.personal_data(documents([(1, "a@b.c")] * 4)))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_passages_equal_brute_force(documents, rng):
+    lines = [" ".join(rng.choice("abcdefg") * 2 for _ in range(rng.choice([1, 3, 9, 25]))) for _ in range(30)]
+    rows = []
+    for i in range(40):
+        start = rng.randint(0, 20)
+        own = [f"own {i} {k}" for k in range(3)]
+        rows.append((i, "\n".join(rng.choice([own[:1] + lines[start:start + 6] + [""] + own, own + [rng.choice(lines)] + own, lines[:2] + ["  "] + lines[2:5]]))))
+    seen, want = set(), []
+    for doc, text in rows:
+        start, run = 0, []
+        for line in [*text.split("\n"), None]:
+            normal = None if line is None else " ".join(line.lower().split())
+            if normal and normal in seen:
+                run.append((doc, start, start + len(line), len(normal.split())))
+            elif normal != "":
+                total = sum(r[3] for r in run)
+                want += [(*r[:3], total) for r in run] if total >= 12 else []
+                run = []
+                seen.add(normal)
+            start += len(line or "") + 1
+    got = op10_lines.repeated_passages(documents(rows).repartition(3), passage_words=12).collect()
+    assert sorted((r.doc_id, r.start, r.end, r.passage_words) for r in got) == sorted(want) and want
+    # A lone short line stays wherever it is repeated; a copied row goes as a whole, nulls and all.
+    long = "\n".join(lines[:6])
+    odd = documents([(1, "of."), (2, "of."), (3, "x\nof.\ny"), (None, long), (None, long), (None, None), (4, "")])
+    assert {(r.doc_id, r.copy) for r in op10_lines.repeated_passages(odd).collect()} == {(None, 1)}
+    assert op10_lines.repeated_passages(documents([])).collect() == []
