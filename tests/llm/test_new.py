@@ -330,10 +330,10 @@ def test_passages_equal_brute_force(documents, rng):
     assert sorted((r.doc_id, r.start, r.end, r.passage_words) for r in got) == sorted(want) and want
     # Sentences: a passage that begins and ends inside lines.
     shared = "Far over hills they went. And back again, all of them, with drums and pipes and banners! So it was told to us by the eldest one."
-    inner = [(1, f"Own words. {shared} Mine."), (2, f"others here.  {shared} Theirs.\nof."), (3, "of.")]
+    inner = [(1, f"Own made. {shared} Mine."), (2, f"others made.  {shared} Theirs.\nof."), (3, "of.")]
     found = op10_lines.repeated_passages(documents(inner))
     assert {(r.doc_id, r.passage_words) for r in found.collect()} == {(2, len(shared.split()))}
-    assert [r.text for r in op10_lines.remove_units(documents(inner), found).collect() if r.doc_id == 2] == ["others here. Theirs.\nof."]
+    assert [r.text for r in op10_lines.remove_units(documents(inner), found).collect() if r.doc_id == 2] == ["others made. Theirs.\nof."]
     # A lone short line stays wherever it is repeated; a copied row goes as a whole, nulls and all.
     long = "\n".join(lines[:6])
     odd = documents([(1, "of."), (2, "of."), (3, "x\nof.\ny"), (None, long), (None, long), (None, None), (4, "")])
