@@ -247,7 +247,7 @@ pairs AS MATERIALIZED (
     ends_with(c.key_domain, '.' || p.key_domain)
     OR (contains(p.clean, '||') AND contains(c.clean, '||') AND contains(substr(p.clean, 3), '^')
         AND starts_with(substr(c.clean, 3), {before("substr(p.clean, 3)", "'^'")} || '/')))),
-merged AS (
+merged AS MATERIALIZED (
   SELECT * FROM exact WHERE section <> 'block'
   UNION ALL
   SELECT e.* FROM exact e ANTI JOIN (SELECT DISTINCT child FROM pairs) p ON e.normalized = p.child WHERE e.section = 'block'),
@@ -263,6 +263,17 @@ edition AS (
   SELECT m.*, coalesce(c.comments, '') AS comments, coalesce(c.comment_list, CAST([] AS VARCHAR[])) AS comment_list
   FROM merged m LEFT JOIN comments c USING (source, chunk, line_no) WHERE length(m.raw) <= 4000)"""
 
+FIRST_PARENT = """SELECT child, parent FROM pairs
+           QUALIFY row_number() OVER (PARTITION BY child ORDER BY i, priority, source_ord, chunk, line_no, parent) = 1"""
+
+CHAINS = f"""
+firsts AS MATERIALIZED (
+  {FIRST_PARENT}),
+chains AS (
+  SELECT child, parent, parent AS reached, 1 AS steps FROM firsts
+  UNION ALL
+  SELECT c.child, c.parent, f.parent, c.steps + 1 FROM chains c JOIN firsts f ON f.child = c.reached)"""
+
 RANK = """CASE rule_type WHEN 'header' THEN 0 WHEN 'exception' THEN 1 WHEN 'block' THEN 2
   WHEN 'hide-exception' THEN 3 ELSE 4 END"""
 
@@ -323,8 +334,8 @@ history AS (
   SELECT event_type AS edition, CAST(ts AS DATE) AS run_day, count(*) AS total_rules FROM events GROUP BY ALL)"""
 
 
-def _with(*parts: str, select: str) -> str:
-    return "WITH " + ",".join(parts) + "\n" + select
+def _with(*parts: str, select: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(parts) + "\n" + select
 
 
 def _rules(select: str, lines: str = "rule_lines", where: str = "true") -> str:
@@ -443,9 +454,11 @@ ORACLES: dict[str, str] = {
     "subset_dedup": _all(
         "SELECT normalized, raw, source, CAST(priority AS INTEGER) AS priority FROM merged WHERE section = 'block'"
     ),
-    "broader_pairs": _all(
-        """SELECT child, parent FROM pairs
-           QUALIFY row_number() OVER (PARTITION BY child ORDER BY i, priority, source_ord, chunk, line_no, parent) = 1"""
+    "broader_pairs": _all(FIRST_PARENT),
+    "final_keepers": _with(
+        PAGES, RULE_LINES, "\nlines AS (SELECT * FROM all_lines)", PARSE, MERGE, CHAINS, recursive=True,
+        select="""SELECT child, parent, arg_max(reached, steps) AS keeper, CAST(max(steps) AS BIGINT) AS steps
+           FROM chains GROUP BY child, parent""",
     ),
     "subsumed_count": _all("SELECT count(DISTINCT child) AS removed FROM pairs"),
     "edition_order": _rules(

@@ -367,6 +367,11 @@ def broader_pairs(spark, d):
     return subsume.covering_parents(dedup.dedup_exact(_all_rules(spark, d)))
 
 
+@query
+def final_keepers(spark, d):
+    return subsume.final_keepers(dedup.dedup_exact(_all_rules(spark, d)))
+
+
 @query
 def subsumed_count(spark, d):
     return subsume.covered_rules(dedup.dedup_exact(_all_rules(spark, d)), ["section"]).agg(_count("removed"))

@@ -12,6 +12,7 @@ from ..operators.parse import attach_comments, parse_rules
 from ..operators.stats import edition_stats
 from ..operators.subsume import dedup_subsumed
 from ..schema import ORDER_KEY, section_rank
+from .manifest import read_verified, write_manifest
 
 MAX_RULE_LENGTH = 4000
 
@@ -153,21 +154,31 @@ def _mark(part: int, text: str) -> Column:
 def publish(edition: DataFrame, text: DataFrame, path: str, version: str) -> bool:
     """Write the text of an edition as a new version; an empty edition writes nothing.
 
-    A version is a folder of ``path`` and counts once Spark's success marker is
-    in it, so readers (``published_version``) see the old one until the last
-    moment, and a failed write changes nothing. Part files are range-sorted:
-    read in name order they are the edition.
+    A version is a folder of ``path`` and counts once its manifest is complete,
+    so readers (``published_version``) see the old one until the last moment, and
+    a failed write changes nothing. Part files are range-sorted: read in name
+    order they are the edition.
     """
     if edition.isEmpty():
         return False
     text.select("text").write.mode("overwrite").text(f"{path}/{version}")
+    write_manifest(edition.sparkSession, f"{path}/{version}")
     return True
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame | None:
+    """Lines (part, text) of the newest complete version, None if there is none.
+
+    A version with a damaged, missing or added part raises ``DamagedEdition``.
+    """
+    newest = published_version(spark, path)
+    return None if newest is None else read_verified(spark, newest)
+
+
 def published_version(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest complete version: the last by name."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "*/_SUCCESS")) if files.exists(root) else []
-    return max((str(f.getPath().getParent().toString()) for f in done), default=None)
+    done = files.globStatus(jvm.org.apache.hadoop.fs.Path(root, "*/_manifest/_SUCCESS")) if files.exists(root) else []
+    return max((str(f.getPath().getParent().getParent().toString()) for f in done), default=None)

@@ -222,3 +222,30 @@ def test_too_long_rules_cover_before_they_go(make_lines):
     lines = make_lines({"s": (1, f"{long}\n||b.a.com^\n||c.com^\n")})
     merged = editions.merge_rules(parse_rules(lines), max_rule_length=40).collect()
     assert [r.raw for r in merged] == ["||c.com^"]
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_keepers_end_in_the_edition(make_lines, seed):
+    rules = dedup.dedup_exact(parse_rules(make_lines({"s": (1, random_rules(seed, 300)), "t": (1, random_rules(seed + 50, 300))}, 64)))
+    parent = {r.child: r.parent for r in subsume.covering_parents(rules).collect()}
+    kept = {r.normalized for r in subsume.dedup_subsumed(rules).filter("section = 'block'").collect()}
+    got = subsume.final_keepers(rules).collect()
+    assert len(got) == len(parent) and {r.child for r in got} == set(parent)
+    for r in got:
+        at, steps = r.child, 0
+        while at in parent:
+            at, steps = parent[at], steps + 1
+        assert (r.parent, r.keeper, r.steps) == (parent[r.child], at, steps) and r.keeper in kept
+    assert max(r.steps for r in got) > 1
+
+
+def test_keeper_of_a_long_chain(make_lines):
+    names = [".".join(f"n{i}" for i in range(n, 0, -1)) + ".com" for n in range(1, 12)]
+    rules = dedup.dedup_exact(parse_rules(make_lines({"s": (1, "\n".join(f"||{name}^" for name in names))})))
+    got = {r.child: (r.keeper, r.steps) for r in subsume.final_keepers(rules).collect()}
+    assert got == {f"||{name}^": (f"||{names[0]}^", i) for i, name in enumerate(names) if i}
+
+
+def test_no_keepers_without_coverage(make_lines):
+    rules = dedup.dedup_exact(parse_rules(make_lines({"s": (1, "||a.com^\n||b.com^")})))
+    assert subsume.final_keepers(rules).collect() == []

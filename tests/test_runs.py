@@ -3,11 +3,12 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from rulemill import fixed
 from rulemill.operators import history, refresh, stats
 from rulemill.operators.parse import comment_rows, parse_rules, type_rules
-from rulemill.plans import editions
+from rulemill.plans import editions, manifest
 from rulemill.sources import lists, registry
 from rulemill.streaming.refresh import refresh as run_refresh
 
@@ -213,6 +214,64 @@ def test_published_text_reads_back(spark, make_lines, tmp_path):
     assert editions.published_version(spark, str(tmp_path / "none")) is None
 
 
+@pytest.fixture
+def version(spark, tmp_path):
+    """A published version of three parts and its folder; Spark then reads in splits of 4 KiB."""
+    text = spark.range(0, 3000, 1, 3).select(F.format_string("||site%05d.com^", "id").alias("text"))
+    assert editions.publish(text, text, str(tmp_path / "out"), "0001")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    yield tmp_path / "out" / "0001"
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_manifest_describes_what_was_written(spark, version):
+    parts = sorted(version.glob("part-*"))
+    said = {r.part: r for r in manifest.read_manifest(spark, str(version)).collect()}
+    assert sorted(said) == [p.name for p in parts] and len({r.edition for r in said.values()}) == 1
+    for p in parts:
+        assert said[p.name].bytes == p.stat().st_size and said[p.name].lines == len(p.read_text().splitlines())
+    # Written and verified with different splits: places of lines do not depend on them.
+    manifest.verify(spark, str(version))
+    got = [r.text for r in editions.read_published(spark, str(version.parent)).orderBy("part", "text").collect()]
+    assert got == [f"||site{i:05d}.com^" for i in range(3000)]
+    places = manifest.numbered_parts(spark, str(version)).groupBy("part").agg(F.count("*").alias("n"), F.countDistinct("line_no").alias("d"), F.max("line_no").alias("m"))
+    assert all(r.n == r.d == r.m + 1 for r in places.collect())
+
+
+@pytest.mark.parametrize("damage", ["missing", "cut", "swapped lines", "added", "exchanged", "manifest row"])
+def test_damaged_version_is_refused(spark, version, damage):
+    parts = sorted(version.glob("part-*"))
+    for crc in version.glob(".part-*.crc"):
+        crc.unlink()
+    lines = parts[1].read_text().splitlines(keepends=True)
+    if damage == "missing":
+        parts[1].unlink()
+    elif damage == "cut":
+        parts[1].write_text("".join(lines[:-1]))
+    elif damage == "swapped lines":
+        parts[1].write_text("".join([*lines[:10], lines[11], lines[10], *lines[12:]]))
+    elif damage == "added":
+        (version / "part-99999-x.txt").write_text("||new.com^\n")
+    elif damage == "exchanged":
+        first = parts[0].read_text()
+        parts[0].write_text("".join(lines))
+        parts[1].write_text(first)
+    else:
+        (said,) = (version / "_manifest").glob("part-*")
+        for crc in (version / "_manifest").glob(".*.crc"):
+            crc.unlink()
+        said.write_text("".join(said.read_text().splitlines(keepends=True)[1:]))
+    with pytest.raises(manifest.DamagedEdition):
+        editions.read_published(spark, str(version.parent))
+
+
+def test_version_without_manifest_does_not_count(spark, tmp_path):
+    text = spark.createDataFrame([("||a.com^",)], "text string")
+    text.write.text(str(tmp_path / "0001"))
+    assert editions.published_version(spark, str(tmp_path)) is None
+    assert editions.read_published(spark, str(tmp_path)) is None
+
+
 def test_reread_skips_bracket_rules_and_defaults_to_block(spark):
     text = f"||a.com^\n[$path=/x]a.com##.ad\n{fixed.MARK_HIDE_EXCEPTION}\na.com#@#.x\n"
     lines = lists.list_lines(spark.createDataFrame([("e", text)], "edition string, text string"), 1)
