@@ -54,12 +54,12 @@ def staged_mark(spark: SparkSession) -> int:
     return len(_staged.get(spark.sparkContext.applicationId, []))
 
 
-def drop_staged(spark: SparkSession, since: int = 0) -> int:
-    """Delete the tables staged after the mark; returns how many."""
+def drop_staged(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables staged after the mark but for the last ``keep``; returns how many."""
     paths = _staged.get(spark.sparkContext.applicationId, [])
-    gone = paths[since:]
+    gone = paths[since:max(since, len(paths) - keep)]
     for path in gone:
         place, files = _filesystem(spark, path)
         files.delete(place, True)
-    del paths[since:]
+    del paths[since:since + len(gone)]
     return len(gone)
