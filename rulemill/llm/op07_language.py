@@ -15,6 +15,9 @@ The posterior of a language is the product of
   smoothed towards the counts of its parent domain, that towards the suffix,
   that towards all pages, with ``SMOOTHING`` pages' weight at each level.
 
+Every language that a labelled row names has a model, however rare: 128 KiB each
+on the driver and in each Python worker, a quarter of a gigabyte for 2,000.
+
 Prior counts are grouped aggregates of all rows, at each level of the address;
 they are written and joined back, so a host with any share of the pages is a
 skewed equi-join that adaptive execution splits.
@@ -25,7 +28,8 @@ letter trigrams and no other evidence, or if its posterior is below
 
 Cases: null or empty texts have the other evidence only; a null or unreadable
 address has the empty host; unknown declared languages say nothing; rows are
-judged one by one, so repeated rows agree; with no labelled rows at all every
+judged one by one, so repeated rows agree; ties go to the first language by
+code point; a text of any length is judged whole, in memory that grows with it; with no labelled rows at all every
 row is ``und``; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -43,8 +47,6 @@ from .textbytes import LOWER, Slice, U, byte_table, mix, slices
 
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 400
-#: Languages of the labelled rows, the most frequent ones first.
-MAX_LANGUAGES = 200
 TEXT_WEIGHT = 60.0
 DECLARED_RIGHT = 0.9
 ADDRESS_RIGHT = 0.8
@@ -86,7 +88,7 @@ def fit(samples: DataFrame) -> tuple[list[str], np.ndarray]:
                     used = np.flatnonzero(counts)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["lang", "bucket", "n"])
 
-    # At most MAX_LANGUAGES * BUCKETS rows, whatever the corpus holds.
+    # At most BUCKETS rows of each language, whatever the corpus holds.
     rows = samples.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pydict()
     languages = sorted(set(rows["lang"]))
     counts = np.full((len(languages), BUCKETS), 0.05)
@@ -98,15 +100,12 @@ def fit(samples: DataFrame) -> tuple[list[str], np.ndarray]:
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """A bounded sample of (lang, text): rows with the smallest hashes of doc_id."""
     known = docs.filter("lang is not null and lang <> '' and doc_id is not null and text is not null")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    # A hash below this share gives about twice the rows wanted; the rank cuts it.
-    share = F.lit(None).cast("double")
-    for row in counts:
-        share = F.when(F.col("lang") == row.lang, min(1.0, 2.0 * per_language / row.n)).otherwise(share)
+    # A hash below its language's share gives about twice the rows wanted; the rank cuts it.
+    shares = stage(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select("lang", (F.lit(2.0 * per_language) / F.col("n")).alias("share")), "language-shares")
     place = (F.xxhash64("doc_id", F.lit("sample")).cast("double") / 2.0**64) + 0.5
     order = Window.partitionBy("lang").orderBy("place", "doc_id", F.xxhash64("text"))
     return (
-        known.withColumn("place", place).filter(F.col("place") < share)
+        known.select("lang", "doc_id", "text").withColumn("place", place).join(shares, "lang").filter(F.col("place") <= F.col("share"))
         .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language).select("lang", "text")
     )
 
@@ -171,12 +170,15 @@ def _host_priors(seen: DataFrame, n: int) -> DataFrame:
 
     host = F.col("host")
     hosts = stage(seen.groupBy("host").agg(*[F.sum(F.get("p", i)).alias(x) for i, x in enumerate(p)]), "host-counts").select(
-        "*", F.substring_index(host, ".", -2).alias("parent"), F.substring_index(host, ".", -1).alias("suffix"), F.lit("*").alias("any"))
+        "*", F.substring_index(host, ".", -2).alias("parent"), F.substring_index(host, ".", -1).alias("suffix"))
     sums = [F.sum(x).alias(x) for x in p]
-    parents = hosts.groupBy("parent", "suffix", "any").agg(*sums)
-    suffixes = parents.groupBy("suffix", "any").agg(*sums)
-    prior = suffixes.groupBy("any").agg(*sums).select("any", smoothed(lambda i: 1.0 / n))
-    for table, key, upper in ((suffixes, "suffix", "any"), (parents, "parent", "suffix"), (hosts, "host", "parent")):
+    parents = stage(hosts.groupBy("parent", "suffix").agg(*sums), "parent-counts")
+    suffixes = stage(parents.groupBy("suffix").agg(*sums), "suffix-counts")
+    # One row: the counts of all pages.
+    every = [x or 0.0 for x in suffixes.agg(*sums).first()]
+    top = [(x + SMOOTHING / n) / (sum(every) + SMOOTHING) for x in every]
+    prior = suffixes.select("suffix", smoothed(lambda i: F.lit(top[i])))
+    for table, key, upper in ((parents, "parent", "suffix"), (hosts, "host", "parent")):
         prior = table.join(prior, upper).select(key, smoothed(lambda i: F.get("prior", i)))
     return prior
 
