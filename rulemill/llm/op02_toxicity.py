@@ -2,7 +2,10 @@
 
 1. Voters. Words and word beginnings (``PREFIXES`` letters) that stand out in
    toxic training texts form the lexicon: those whose log-likelihood ratio
-   passes ``P_VALUE`` after correction for all tokens tried. A token is strong
+   passes ``P_VALUE`` after correction for all tokens tried, the ``LEXICON`` with
+   the largest ratios at most. That bound is the number of features of the
+   classifier, whose matrix of ``TRAINING_ROWS`` rows is on the driver (34 MB);
+   it is the same at every size of the corpus. A token is strong
    if ``STRONG`` of the texts with it are toxic. ``WORD_VOTERS`` voters share the
    strong words and ``PATTERN_VOTERS`` the strong beginnings, by rank, so each
    votes on its own evidence; further voters want several weak tokens, look at
@@ -16,12 +19,15 @@
    posteriors of at most ``TRAINING_ROWS`` texts and scores every text.
 
 Labels come only from rows whose crc32(doc_id) mod 3 is not 1, at most
-``LABELLED_ROWS`` of them (smallest hashes). Labels, lang, source and doc_id are
+``LABELLED_ROWS`` of them (smallest hashes). Both samples are first cut to a
+share of the hashes that holds about twice the rows wanted, so the sort that
+follows sees a bounded number of rows however many partitions there are. Labels, lang, source and doc_id are
 no inputs of a score. Counts of vote patterns cover the whole corpus.
 
 Cases: a null or empty text is scored like a text without hits; several labels
-of one doc_id count as toxic if one says so; repeated rows get the same score;
-a null doc_id has no label and is not held out; without toxic training rows
+of one doc_id count as toxic if one says so; repeated rows get the same score
+and count once among the training rows; a null doc_id has no label, is not held
+out and is no training row; a text of any length is scored whole; without toxic training rows
 every score is the base rate; an empty table gives no rows; extra columns are
 ignored.
 """
@@ -59,6 +65,25 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def _place(purpose: str) -> Column:
+    """A number from 0 to 1 by hash of doc_id."""
+    return F.xxhash64("doc_id", F.lit(purpose)).cast("double") / 2.0**64 + 0.5
+
+
+def lowest(rows: DataFrame, purpose: str, bound: int, value: Column) -> DataFrame:
+    """doc_id and ``value`` of the ``bound`` ids with the smallest hashes.
+
+    ``value``, an aggregate, makes one row of an id. Ids are counted first; a
+    share of them goes on, twice the rows wanted, and only those are sorted.
+    """
+    known = rows.filter("doc_id is not null")
+    ids = known.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
+    share = min(1.0, 2.0 * bound / max(ids, 1))
+    few = known.withColumn("_place", _place(purpose)).filter(F.col("_place") <= share)
+    one = few.groupBy("doc_id", "_place").agg(value.alias("value"))
+    return one.orderBy("_place", "doc_id").limit(bound).select("doc_id", "value")
+
+
 def tokens(text: str) -> set[str]:
     """Distinct words and marked word beginnings of a text."""
     found = set(_WORD.findall(text.lower()))
@@ -260,9 +285,9 @@ def _scores(n: int, weights: np.ndarray):
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
-    place = F.xxhash64("doc_id", F.lit("labelled"))
-    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
-    chosen = stage(usable.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")).orderBy(place, "doc_id").limit(LABELLED_ROWS), "labelled-ids")
+    usable = labels.filter(F.col("toxic").isNotNull() & ~held_out())
+    toxic = F.max((F.col("toxic") > 0).cast("int"))
+    chosen = stage(lowest(usable.select("doc_id", "toxic"), "labelled", LABELLED_ROWS, toxic).withColumnRenamed("value", "toxic"), "labelled-ids")
     # At most LABELLED_ROWS narrow rows go to every task.
     labelled = stage(docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "labelled")
     names, base = lexicon(labelled)
@@ -279,10 +304,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ).orderBy("votes").toPandas()
     patterns = table["votes"].to_numpy()
     posterior = label_model(patterns, table["n"].to_numpy(), table[["clean", "toxic"]].to_numpy(float), base)
-    sample = (
-        seen.filter(~held_out()).orderBy(F.xxhash64("doc_id", F.lit("training")), "doc_id", "votes").limit(TRAINING_ROWS)
-        .select("votes", "n_words", "strong", "weak", "hits", "times").toArrow().to_pydict()
-    )
+    row = F.min(F.struct("votes", "n_words", "strong", "weak", "hits", "times"))
+    sample = lowest(seen.filter(~held_out()), "training", TRAINING_ROWS, row).select("value.*").toArrow().to_pydict()
     x = design(sample, len(names))
     y = posterior[np.searchsorted(patterns, sample["votes"])]
     return result(seen.mapInArrow(_scores(len(names), fit_linear(x, y)), "doc_id long, score double"))

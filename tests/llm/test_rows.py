@@ -266,3 +266,31 @@ def test_pipeline(spark, rng, tmp_path):
     assert Counter(r.doc_id for r in got) == seen[3]
     starts = sorted((r.start, r.n_tokens) for r in got)
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
+def test_near_dedup_tells_rows_apart(spark, documents, rng):
+    one, two, three = (prose(rng, VOCABULARY, 40) for _ in range(3))
+    rows = [(1, one), (1, two), (None, three), (None, three), (None, three), (2, one + " end"), (3, ""), (3, ""), (4, None), (None, None), (5, one, "de", "s")]
+    docs = documents(rows)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    want = Counter([(1, one), (1, two), (None, three), (3, ""), (4, None), (None, None)])
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == want
+    assert corpus_pipeline.near_dedup(spark, documents([]), "").collect() == []
+
+
+def test_every_language_is_sampled(documents):
+    rows = [(i, f"text {i}", f"l{i % 300}") for i in range(900)] + [(1000 + i, "hot", "l0") for i in range(500)] + [(None, "x", "l1"), (2000, None, "l2"), (2001, "x", ""), (2002, "x", None)]
+    got = Counter(r.lang for r in op07_language.labelled_sample(documents(rows), 100).collect())
+    assert len(got) == 300 and got["l0"] == 100 and all(n == 3 for lang, n in got.items() if lang != "l0")
+
+
+def test_lowest_sorts_a_bounded_share(spark):
+    rows = spark.range(20000).select("id", F.col("id").alias("doc_id")).unionByName(spark.range(9000).select("id", F.lit(None).cast("long").alias("doc_id")))
+    twice = rows.unionByName(rows)
+    few = op02_toxicity.lowest(twice, "x", 300, F.max("id"))
+    got = [(r.doc_id, r.value) for r in few.collect()]
+    place = {r.doc_id: r.p for r in rows.filter("doc_id is not null").select("doc_id", op02_toxicity._place("x").alias("p")).collect()}
+    assert got == [(i, i) for i in sorted(place, key=lambda i: (place[i], i))[:300]]
+    assert len(op02_toxicity.lowest(rows, "x", 50000, F.max("id")).collect()) == 20000
+    assert op02_toxicity.lowest(rows.limit(0), "x", 5, F.max("id")).collect() == []
