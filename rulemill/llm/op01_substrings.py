@@ -279,3 +279,23 @@ def repeated_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
         marks = marks.unionByName(windows.filter("copies = 1").join(twice, ["w1", "w2"]).select("h", "c", "first", F.col("first").alias("last")))
     by_row = marks.groupBy("h").agg(F.collect_list(F.struct("c", "first", "last")).alias("marks"))
     return texts.join(by_row, "h", "left").select("doc_id", "c", "text", "marks").mapInArrow(_remove(window), RESULT)
+
+
+#: Every window by its digest; texts as hexadecimal digits, so that places are bytes.
+ORACLE = """
+WITH h AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS MATERIALIZED (
+  SELECT row, i, md5_number(substr(x, 2 * i + 1, 400)) AS d FROM (SELECT row, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM h)),
+m AS (SELECT row, i FROM p SEMI JOIN (SELECT d FROM p GROUP BY d HAVING count(*) > 1) USING (d)),
+e AS (SELECT row, i, CASE WHEN i - lag(i) OVER (PARTITION BY row ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM m),
+k AS (SELECT row, i, sum(new) OVER (PARTITION BY row ORDER BY i) AS island FROM e),
+s AS (SELECT row, min(i) AS a, max(i) + 200 AS b FROM k GROUP BY row, island),
+g AS (
+  SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS z FROM s),
+r AS (
+  SELECT row, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept
+  FROM g JOIN h USING (row) GROUP BY row)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM h LEFT JOIN r USING (row)
+"""

@@ -197,3 +197,39 @@ def license_scan(docs: DataFrame) -> DataFrame:
             F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("cover", F.lit(0.0))).alias("score"),
         )
     )
+
+
+def oracle_sql(templates: list = TEMPLATES, drift: int = DRIFT, min_cover: float = MIN_COVER) -> str:
+    """The scan as SQL, for grams of three words."""
+    grams = ", ".join(
+        f"({number}, '{label}', {len(ws)}, {at}, '{' '.join(ws[at:at + 3])}')"
+        for number, (label, ws) in enumerate(template_words(templates)) for at in range(len(ws) - 2)
+    )
+    places = " UNION ALL ".join(
+        f"SELECT row, unnest(list_filter(range(1, len(w) + 1), lambda i: {' AND '.join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase))})) - 1 AS first, '{label}' AS label FROM w"
+        for phrase, label in BASE.items()
+    )
+    return rf"""
+WITH t(template, label, n, tpos, gram) AS (VALUES {grams}),
+w AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (SELECT row, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word, list(DISTINCT label) AS labels FROM ({places}) GROUP BY row),
+g AS (SELECT row, i - 1 AS pos, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+h AS (SELECT row, template, label, n, tpos, pos - tpos AS diagonal FROM g JOIN t USING (gram)),
+d AS (
+  SELECT row, template, diagonal, CASE WHEN diagonal - lag(diagonal) OVER o <= {drift} THEN 0 ELSE 1 END AS new
+  FROM (SELECT DISTINCT row, template, diagonal FROM h) WINDOW o AS (PARTITION BY row, template ORDER BY diagonal)),
+i AS (SELECT row, template, diagonal, sum(new) OVER (PARTITION BY row, template ORDER BY diagonal) AS island FROM d),
+c AS (
+  SELECT row, label, count(DISTINCT p) / n AS cover
+  FROM (SELECT row, template, label, n, island, unnest(range(tpos, tpos + 3)) AS p FROM h JOIN i USING (row, template, diagonal))
+  GROUP BY row, template, label, n, island HAVING count(DISTINCT p) / n >= {min_cover}),
+v AS (SELECT row, list(DISTINCT label) AS labels, max(cover) AS cover FROM c GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, v.labels))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(cover, 0) END AS score
+FROM w LEFT JOIN b USING (row) LEFT JOIN v USING (row)
+"""

@@ -81,6 +81,8 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
+    "op1_substrings": op01_substrings.ORACLE,
+    "op5_licenses": op05_licenses.oracle_sql(),
     "op6_forest": op06_forest.ORACLE,
     "op8_minhash": op08_minhash.ORACLE,
     "op9_mixing": op09_mixing.ORACLE,
