@@ -2,9 +2,8 @@
 
 A text is cut into units: lines (``\\n``), paragraphs (blank lines between) or
 ``sentence``: lines that are cut again behind ``.``, ``!`` and ``?`` before a
-blank, so that a passage that begins inside a line is found too; only behind a
-letter a to h, which the text alone decides, so that a unit holds a few sentences
-and there are about as many units as lines of print.
+blank, so that a passage that begins inside a line is found too. Every such end
+cuts, and every unit is compared.
 A unit is normalised (lower case, runs of white space become one blank, ends
 trimmed) and its 128-bit digest grouped globally. The occurrence first by
 (doc_id, start) stays, every other one is removed. Spans keep their character
@@ -17,11 +16,14 @@ consist of short lines. ``min_words`` is for callers that want a floor.
 as "of." from texts that have nothing else in common, so ``repeated_passages``
 keeps those whose *passage* is long enough: units that follow each other in a
 text (blank ones aside) and are all later occurrences are one passage, be it a
-line, a paragraph or more, and it goes if it has ``PASSAGE_WORDS`` words.
+line, a paragraph or more, and it goes if it has ``PASSAGE_WORDS`` words. With
+``every`` the occurrences that stay count and are reported too, so that each text
+holding a repeated passage has rows; ``removed`` tells which of them go.
 
-A unit may be in any share of the documents: first occurrences come from an
-aggregate with map-side combining, are written, and join the occurrences in a
-plain equi-join, which adaptive execution splits where it is skewed.
+A unit may be in any share of the documents: digests are counted with map-side
+combining, and only units that occur twice or more go further. First occurrences
+come from another such aggregate, are written, and join the occurrences in a plain
+equi-join, which adaptive execution splits where it is skewed.
 
 Cases: null and empty texts have no units; repeated rows are occurrences like
 others (equal doc_id and start: one stays, ``copy`` tells them apart); a null
@@ -43,7 +45,7 @@ from ..staging import stage
 MIN_WORDS = 1
 #: Words of a passage of neighbouring repeated units that is removed.
 PASSAGE_WORDS = 20
-SEPARATORS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*"), "sentence": re.compile(r"\n|(?<=[a-h][.!?])(?=[ \t])")}
+SEPARATORS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*"), "sentence": re.compile(r"\n|(?<=[.!?])(?=[ \t])")}
 #: White space of the normalisation: the same bytes in every engine.
 _BLANK = re.compile(r"[ \t\n\x0b\x0c\r]+")
 
@@ -59,7 +61,7 @@ def units(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> Iterator
         start = following
 
 
-_UNITS = "doc_id long, start long, end long, digest string, place long, words long, text_key long"
+_UNITS = "doc_id long, start long, end long, digest binary, place long, words long, text_key long"
 
 
 def _cut(unit: str, min_words: int):
@@ -68,21 +70,23 @@ def _cut(unit: str, min_words: int):
             for lo in range(0, batch.num_rows, 512):
                 some = batch.slice(lo, 512)
                 rows = [
-                    (doc, start, end, hashlib.md5(normal.encode("utf-8", "surrogatepass")).hexdigest(), place, normal.count(" ") + 1, key)
+                    (doc, start, end, hashlib.md5(normal.encode("utf-8", "surrogatepass")).digest(), place, normal.count(" ") + 1, key)
                     for doc, text, key in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text", "text_key"))) if text
                     for place, (start, end, normal) in enumerate(units(text, unit, min_words))
                 ]
                 if rows:
-                    columns = [pa.array(c, pa.string() if i == 3 else pa.int64()) for i, c in enumerate(zip(*rows))]
+                    columns = [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(zip(*rows))]
                     yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _UNITS.split(", ")])
 
     return cut
 
 
-def _later(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
-    """Every later occurrence with its place among the units of its text."""
-    found = stage(
+def _occurrences(docs: DataFrame, unit: str, min_words: int, every: bool = False) -> DataFrame:
+    """Every later occurrence with its place among the units of its text; with ``every`` the first ones too."""
+    cut = stage(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(_cut(unit, min_words), _UNITS), "units")
+    often = stage(cut.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"), "repeated-digests")
+    found = stage(cut.join(often, "digest", "left_semi"), "repeated-units")
     # Counted before the join, by place: so a digest that holds much of the corpus
     # is only met in the join, which adaptive execution splits.
     places = found.groupBy("digest", "doc_id", "start", "end", "text_key").agg(
@@ -96,9 +100,13 @@ def _later(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
         "first-units",
     )
     is_first = F.col("doc_id").eqNullSafe(F.col("kept_doc_id")) & (F.col("start") == F.col("kept_start")) & (F.col("text_key") == F.col("kept_key"))
-    gone = F.col("copies") - is_first.cast("long")
-    return places.join(firsts, "digest").withColumn(
-        "copy", F.explode(F.when(gone > 0, F.sequence(F.lit(1).cast("long"), gone)).otherwise(F.array().cast("array<bigint>"))))
+    told = F.col("copies") if every else F.col("copies") - is_first.cast("long")
+    return (
+        places.join(firsts, "digest")
+        .withColumn("copy", F.explode(F.when(told > 0, F.sequence(F.lit(1).cast("long"), told)).otherwise(F.array().cast("array<bigint>"))))
+        .withColumn("removed", ~(is_first & (F.col("copy") == 1)) if every else F.lit(True))
+        .withColumn("digest", F.lower(F.hex("digest")))
+    )
 
 
 _REPEATED = ["doc_id", "start", "end", "digest", "kept_doc_id", "kept_start", "n", "copy"]
@@ -106,25 +114,28 @@ _REPEATED = ["doc_id", "start", "end", "digest", "kept_doc_id", "kept_start", "n
 
 def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
     """A row per later occurrence: doc_id, start, end, digest, kept_doc_id, kept_start, n, copy."""
-    return _later(docs, unit, min_words).select(*_REPEATED)
+    return _occurrences(docs, unit, min_words).select(*_REPEATED)
 
 
-def repeated_passages(docs: DataFrame, unit: str = "sentence", passage_words: int = PASSAGE_WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, unit: str = "sentence", passage_words: int = PASSAGE_WORDS, every: bool = False) -> DataFrame:
     """The rows of ``repeated_units`` that stand in a passage of ``passage_words`` words, with its ``passage_words``.
 
+    With ``every`` first occurrences are rows as well, not ``removed``.
     Passages end with their text, so a window never spans documents.
     """
     text = ["doc_id", "text_key", "copy"]
     run = F.col("place") - F.row_number().over(Window.partitionBy(*text).orderBy("place"))
     together = F.sum("words").over(Window.partitionBy(*text, "run"))
     return (
-        _later(docs, unit, 1).withColumn("run", run).withColumn("passage_words", together)
-        .filter(F.col("passage_words") >= passage_words).select(*_REPEATED, "passage_words")
+        _occurrences(docs, unit, 1, every).withColumn("run", run).withColumn("passage_words", together)
+        .filter(F.col("passage_words") >= passage_words).select(*_REPEATED, "passage_words", *(["removed"] if every else []))
     )
 
 
 def remove_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` (doc_id unique) with ``text`` cut and ``removed_spans`` of the original."""
+    if "removed" in removed.columns:
+        removed = removed.filter("removed")
     spans = removed.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed_spans"))
 
     def kept(text, gone):
@@ -143,7 +154,7 @@ def remove_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
 ORACLE = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS row FROM documents),
-c AS (SELECT doc_id, row, string_split(regexp_replace(line, '([a-h][.!?])([ \t])', '\1' || chr(57344) || '\2', 'g'), chr(57344)) AS parts FROM l),
+c AS (SELECT doc_id, row, string_split(regexp_replace(line, '([.!?])([ \t])', '\1' || chr(57344) || '\2', 'g'), chr(57344)) AS parts FROM l),
 u AS (SELECT doc_id, row, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos, len(parts) AS last FROM c),
 o AS (
   SELECT doc_id, line, coalesce(sum(length(line) + CAST(pos = last AS INT)) OVER (
@@ -160,8 +171,9 @@ f AS (
   FROM d GROUP BY digest HAVING count(*) > 1),
 r AS (
   SELECT d.*, f.kept_doc_id, f.kept_start, f.n, place - row_number() OVER (PARTITION BY d.doc_id ORDER BY place) AS run
-  FROM d JOIN f USING (digest) WHERE NOT (d.doc_id = f.kept_doc_id AND d.start = f.kept_start)),
+  FROM d JOIN f USING (digest)),
 p AS (SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id, run) AS BIGINT) AS passage_words FROM r)
-SELECT doc_id, start, "end", digest, kept_doc_id, kept_start, n, CAST(1 AS BIGINT) AS copy, passage_words
+SELECT doc_id, start, "end", digest, kept_doc_id, kept_start, n, CAST(1 AS BIGINT) AS copy, passage_words,
+       NOT (doc_id = kept_doc_id AND start = kept_start) AS removed
 FROM p WHERE passage_words >= {PASSAGE_WORDS}
 """

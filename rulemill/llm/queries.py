@@ -49,7 +49,7 @@ def op9_mixing(spark, sf_dir):
 
 
 def op10_lines_query(spark, sf_dir):
-    return op10_lines.repeated_passages(_table(spark, sf_dir, "documents"))
+    return op10_lines.repeated_passages(_table(spark, sf_dir, "documents"), every=True)
 
 
 def op11_variants_query(spark, sf_dir):

@@ -339,3 +339,15 @@ def test_passages_equal_brute_force(documents, rng):
     odd = documents([(1, "of."), (2, "of."), (3, "x\nof.\ny"), (None, long), (None, long), (None, None), (4, "")])
     assert {(r.doc_id, r.copy) for r in op10_lines.repeated_passages(odd).collect()} == {(None, 1)}
     assert op10_lines.repeated_passages(documents([])).collect() == []
+
+
+def test_passages_cut_at_every_sentence(documents):
+    """Sentences that end in any letter, a digit or a bracket are units; the copy that stays is reported."""
+    shared = ["Six ships lay in the bay.", "They had come from far off (so it was said).", "Nobody knew how many were on board in 1903.", "Still more were to follow!"]
+    rows = [(1, f"Own begin. {' '.join(shared)} Mine."), (2, f"Some other text\nand more of it. {' '.join(shared)} Theirs."), (3, "Nothing of that kind. Theirs.")]
+    found = op10_lines.repeated_passages(documents(rows), every=True).collect()
+    texts = dict(rows)
+    assert {(r.doc_id, texts[r.doc_id][r.start:r.end].strip(), r.removed) for r in found} == {
+        (1, s, False) for s in shared} | {(2, s, True) for s in shared} | {(2, "Theirs.", False)}
+    cut = op10_lines.remove_units(documents(rows), op10_lines.repeated_passages(documents(rows), every=True)).collect()
+    assert {r.doc_id: r.text for r in cut} == texts | {2: "Some other text\nand more of it. Theirs."}
