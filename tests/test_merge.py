@@ -249,3 +249,48 @@ def test_keeper_of_a_long_chain(make_lines):
 def test_no_keepers_without_coverage(make_lines):
     rules = dedup.dedup_exact(parse_rules(make_lines({"s": (1, "||a.com^\n||b.com^")})))
     assert subsume.final_keepers(rules).collect() == []
+
+
+def test_only_parents_that_are_asked_for_are_staged(spark, monkeypatch):
+    """Domains without rules below them never reach the tables of parents."""
+    staged = {}
+
+    def noted(df, name, partition_by=None):
+        table = real(df, name, partition_by)
+        staged.setdefault(name, []).append(table.count())
+        return table
+
+    real = subsume.stage
+    monkeypatch.setattr(subsume, "stage", noted)
+    names = [f"lone{i}.org" for i in range(50)] + ["top.com", "a.top.com", "b.a.top.com"]
+    rows = [(1, 0, 0, i, f"||{n}^", f"||{n}^", n, "block", i) for i, n in enumerate(names)]
+    rules = spark.createDataFrame(rows, "priority int, source_ord int, chunk long, line_no long, raw string, normalized string, domain string, section string, key_hash long")
+    kept = {r.raw for r in subsume.dedup_subsumed(rules, ["raw"]).collect()}
+    assert kept == {f"||{n}^" for n in names[:51]}
+    assert staged["parents"] == [2]
+    pairs = {(r.child, r.parent) for r in subsume.covering_parents(rules).collect()}
+    assert pairs == {("||a.top.com^", "||top.com^"), ("||b.a.top.com^", "||a.top.com^")}
+    assert staged["parents"] == [2, 2] and staged["paths"][-1] == 0
+
+
+def test_values_are_carried_over_spans_of_chunks(spark, monkeypatch):
+    monkeypatch.setattr("rulemill.operators.carry.SPAN", 3)
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), rng.randint(-4, 25), i, rng.choice([None] * 9 + [f"v{i}"]), rng.random() < 0.2) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, chunk long, line_no long, v string, k boolean").repartition(4)
+    for backwards in (False, True):
+        want, last = {}, {}
+        for g, c, n, v, k in sorted(rows, key=lambda r: (r[1], r[2]), reverse=backwards):
+            last[g] = v or last.get(g)
+            want[n] = last[g]
+        got = {r.line_no: r.o for r in carry(df, ["g"], "v", "o", backwards).collect()}
+        some = {r.line_no: r.o for r in carry(df, ["g"], "v", "o", backwards, F.col("k")).collect()}
+        assert got == want and some == {r[2]: want[r[2]] for r in rows if r[4]}
+
+
+def test_narrow_rows_are_widened_again(spark):
+    rows = [(raw, key, domain) for raw in ("||a.b^", "||A.b^", "") for key in ("||a.b^", "") for domain in ("a.b", "", "www.a.b")]
+    rules = spark.createDataFrame(rows, "raw string, normalized string, domain string")
+    thin = dedup.narrow(rules)
+    assert sorted(map(tuple, dedup.widen(thin).collect())) == sorted(rows)
+    assert thin.filter("raw is null").count() == 6 and thin.filter("domain is null").count() == 6
