@@ -294,3 +294,33 @@ def test_narrow_rows_are_widened_again(spark):
     thin = dedup.narrow(rules)
     assert sorted(map(tuple, dedup.widen(thin).collect())) == sorted(rows)
     assert thin.filter("raw is null").count() == 6 and thin.filter("domain is null").count() == 6
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_every_broader_pair_against_brute_force(make_lines, seed):
+    """All parents of a rule, not only the nearest, each once."""
+    rules = dedup.dedup_exact(parse_rules(make_lines({f"s{i}": (i, random_rules(seed * 10 + i, 200)) for i in range(2)}, 16)))
+    blocks = [(r.domain, r.normalized) for r in rules.filter("section = 'block'").collect() if r.domain]
+    want = sorted((c[1], p[1]) for c in blocks for p in blocks if covers(p, c))
+    got = sorted(map(tuple, subsume.covering_parents(rules, every=True).collect()))
+    assert got == want and len({c for c, _ in want}) < len(want)
+
+
+def test_broader_pairs_holds_each_pair(spark, tmp_path):
+    """Of ||a.b.s3.example.com^ and the rules above it no pair is left out."""
+    from pyspark.sql.types import StructType
+
+    from rulemill.checks.queries import QUERIES
+
+    tables = {
+        "pages": ("page_id long, url string, html string", [(n, u, "") for n, u in enumerate(
+            ["https://a.b.s3.example.com/x"] * 5 + ["http://b.s3.example.com/"] * 25 + ["https://a.b.s3.example.com/x"] * 5)]),
+        "documents": ("doc_id long, text string, lang string, source string, n_chars int", [(1, "||b.s3.example.com^", "de", "src1", 19)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int", [(1, 10, 3, 1)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, StructType.fromDDL(schema)).write.parquet(f"{tmp_path}/{name}.parquet")
+    pairs = sorted(map(tuple, QUERIES["broader_pairs"](spark, str(tmp_path)).collect()))
+    assert ("||a.b.s3.example.com^", "||b.s3.example.com^") in pairs
+    assert ("||a.b.s3.example.com^", "||s3.example.com^") in pairs and ("||b.s3.example.com^", "||s3.example.com^") in pairs
+    assert len(pairs) == len(set(pairs))
