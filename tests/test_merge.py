@@ -324,3 +324,73 @@ def test_broader_pairs_holds_each_pair(spark, tmp_path):
     assert ("||a.b.s3.example.com^", "||b.s3.example.com^") in pairs
     assert ("||a.b.s3.example.com^", "||s3.example.com^") in pairs and ("||b.s3.example.com^", "||s3.example.com^") in pairs
     assert len(pairs) == len(set(pairs))
+
+
+def test_stored_rules_hold_each_text_once(spark, monkeypatch):
+    """What the key tells is not stored, and every row comes back as it was, NULLs too."""
+    tables = {}
+
+    def noted(df, name, partition_by=None):
+        tables[name] = real(df, name, partition_by)
+        return tables[name]
+
+    real = subsume.stage
+    monkeypatch.setattr(subsume, "stage", noted)
+    keys = ["||a.com^", "@||||b.a.com/x", "0.0.0.0 c.a.com", "||WWW.d.com^$match-case", "/banner/", "", "é||e.com^", "|é.f.com^", None]
+    rows = [
+        (i, key, raw, domain, section, h)
+        for i, (key, raw, domain, section, h) in enumerate(
+            (key, raw, domain, section, h)
+            for key in keys for raw in (key, "||Other.org^", "", None) for domain in ("a.com", "WWW.d.com", "", None)
+            for section in ("block", "element") for h in (None, 7)
+        )
+    ]
+    plain = spark.createDataFrame(rows, "line_no long, normalized string, raw string, domain string, section string, h long")
+    rules = plain.withColumn("key_hash", F.coalesce("h", F.xxhash64("section", "normalized"))).drop("h")
+    ready = subsume.prepare(rules)
+    want = subsume.with_keys(rules).select(ready.columns)
+    assert sorted(map(str, ready.collect())) == sorted(map(str, want.collect()))
+    stored = tables["exact"].filter("section = 'block' and normalized = '||a.com^' and line_no = 0").first()
+    assert [stored[c] for c in ("raw", "domain", "key_domain", "key_hash")] == [None] * 4
+
+
+@pytest.mark.parametrize("below, listed", [(3, "covered"), (40, "uncovered")])
+@pytest.mark.parametrize("short_list", [0, 1000])
+def test_rows_are_picked_by_the_shorter_list(make_lines, monkeypatch, below, listed, short_list):
+    names = []
+
+    def noted(df, name, partition_by=None):
+        names.append(name)
+        return real(df, name, partition_by)
+
+    real = subsume.stage
+    monkeypatch.setattr(subsume, "stage", noted)
+    monkeypatch.setattr(subsume, "SHORT_LIST", short_list)
+    rules = [f"||n{i}.top.com^$image" for i in range(below)] + ["||top.com^"] + [f"||Lone{i}.org^" for i in range(20)]
+    exact = dedup.dedup_exact(parse_rules(make_lines({"s": (1, "\n".join([*rules, "@@||n1.top.com^"]))})))
+    assert {r.raw for r in subsume.dedup_subsumed(exact).collect()} == {*rules[below:], "@@||n1.top.com^"}
+    assert {r.raw for r in subsume.covered_rules(exact).collect()} == set(rules[:below])
+    assert [n for n in names if n.endswith("covered")] == {"covered": ["covered"], "uncovered": ["covered", "uncovered"]}[listed] * 2
+
+
+def test_coverage_shuffles_no_text_of_children(make_lines):
+    """Rows are compared by their numbers, so a join of many children carries no rule text."""
+    exact = dedup.dedup_exact(parse_rules(make_lines({"s": (1, "||a.com^\n||b.a.com^\n")})))
+    thin = subsume._staged(exact, ["raw"])
+    assert subsume.covered_ids(subsume._full(thin), ids=[subsume.ROW]).columns == [subsume.ROW]
+    assert thin.select(subsume.ROW).distinct().count() == 2
+
+
+def test_places_of_comments_are_stored_once(make_lines, monkeypatch):
+    from rulemill.operators import parse
+
+    stored = []
+
+    def noted(df, name, partition_by=None):
+        stored.append(df.columns)
+        return real(df, name, partition_by)
+
+    real = parse.stage
+    monkeypatch.setattr(parse, "stage", noted)
+    got = parse.rule_comments(make_lines({"s": (1, "! one\n\n! two\n||a.com^\n||b.com^\n! last\n")})).collect()
+    assert [r.comments for r in got] == [["! one", "! two"]] and stored == [["source", "chunk", "line_no", "comment"]]

@@ -99,6 +99,23 @@ def test_staging_needs_a_shared_folder(spark, monkeypatch):
     assert staged.count() == 3 and staging.drop_staged(spark, mark) == 1
 
 
+def test_staging_leaves_no_shuffle_files(spark):
+    """What was shuffled for a staged table does not stay on disk beside it."""
+    from rulemill import staging
+
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    conf, before, mark = spark.conf.get(staging._CLEANUP), shuffled(), staging.staged_mark(spark)
+    spark.range(1000).repartition(3, "id").write.format("noop").mode("overwrite").save()
+    assert shuffled() - before
+    before = shuffled()
+    staged = staging.stage(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+    assert not shuffled() - before and spark.conf.get(staging._CLEANUP) == conf
+    assert staged.count() == 7 and staging.drop_staged(spark, mark) == 1
+
+
 def results_of(spark, rows):
     return spark.createDataFrame(rows, "source string, token string, content string, error string")
 
