@@ -116,6 +116,22 @@ def test_staging_leaves_no_shuffle_files(spark):
     assert staged.count() == 7 and staging.drop_staged(spark, mark) == 1
 
 
+def test_staged_folders_are_written_without_a_sort(spark):
+    """Rows come grouped by nothing, in few folders; NULL and empty names come back as NULL, as always."""
+    from rulemill import staging
+
+    mark, old = staging.staged_mark(spark), spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    rows = [(i, s) for i in range(40) for s in ("block", "element", "x/y", "", None)] + [(i, f"s{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "i int, section string")
+    staged = staging.stage(df, "sections", partition_by=["section"])
+    assert sorted((r.i, r.section or "") for r in staged.collect()) == sorted((i, s or "") for i, s in rows)
+    assert staging.drop_staged(spark, mark) == 1
+    with pytest.raises(RuntimeError), staging._writing(spark):
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 4
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == old
+
+
 def results_of(spark, rows):
     return spark.createDataFrame(rows, "source string, token string, content string, error string")
 
